@@ -11,6 +11,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators.sizing import spread
+
 EXACT_FEATURES = 12
 
 
@@ -20,7 +22,8 @@ def background(df: DataFrame, features: Sequence[str], k: int = 10, seed: int =
     Means are taken over the final assignment, so their weighted mean is exactly the
     mean of the data.
     """
-    assembled = VectorAssembler(inputCols=list(features), outputCol="_point").transform(df.select(*features))
+    points = spread(df.select(*features))
+    assembled = VectorAssembler(inputCols=list(features), outputCol="_point").transform(points)
     clusters = KMeans(k=k, seed=seed, featuresCol="_point", predictionCol="cluster").fit(assembled)
     return (
         clusters.transform(assembled)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops import scratch
+from lakeops.operators.sizing import spread
 from lakeops.operators.stats import metric_columns
 
 
@@ -31,10 +32,10 @@ def component_stages(features: Sequence[str] | str, components: int) -> list:
 def elastic_net(train: DataFrame, label: str, alpha: float, l1_ratio: float) -> LinearRegression:
     """Least squares with the penalty ``alpha*l1_ratio*|w| + alpha*(1-l1_ratio)/2*w^2``.
 
-    Spark divides the quadratic part by the label's deviation, so it is scaled
-    back; the normal solver needs one pass over the data.
+    Spark's normal solver divides the quadratic part by the label's population
+    deviation, so it is scaled back. That solver needs one pass over the data.
     """
-    deviation = train.agg(F.stddev_samp(label)).first()[0]
+    deviation = train.agg(F.stddev_pop(label)).first()[0]
     first = alpha * l1_ratio
     second = alpha * (1 - l1_ratio) * deviation
     return LinearRegression(
@@ -71,11 +72,16 @@ def boosted_trees(
     )
 
 
-def train(df: DataFrame, features: Sequence[str] | str, regressor: Estimator, components: int) -> PipelineModel:
+def fit(df: DataFrame, features: Sequence[str] | str, regressor: Estimator, components: int) -> PipelineModel:
     scratch.root(df.sparkSession)
     return Pipeline(stages=[*component_stages(features, components), regressor]).fit(df)
 
 
+def train(df: DataFrame, features: Sequence[str] | str, regressor: Estimator, components: int) -> PipelineModel:
+    """Fit on data that may come from few input splits."""
+    return fit(spread(df), features, regressor, components)
+
+
 def evaluate(model: PipelineModel, train_df: DataFrame, test_df: DataFrame, label: str) -> dict[str, float]:
     """Errors on both parts, from one pass over their union."""
     both = train_df.withColumn("_part", F.lit("train")).unionByName(test_df.withColumn("_part", F.lit("test")))

@@ -65,18 +65,6 @@ def _tree_arrays(model: GBTRegressionModel) -> list[tuple[np.ndarray, ...]]:
     return trees
 
 
-def _run_trees(points: np.ndarray, trees: list[tuple[np.ndarray, ...]], weights: Sequence[float]) -> np.ndarray:
-    total = np.zeros(len(points))
-    rows = np.arange(len(points))
-    for (feature, threshold, left, right, value), weight in zip(trees, weights):
-        at = np.zeros(len(points), dtype=int)
-        while (feature[at] >= 0).any():
-            go_left = points[rows, np.maximum(feature[at], 0)] <= threshold[at]
-            at = np.where(feature[at] < 0, at, np.where(go_left, left[at], right[at]))
-        total += weight * value[at]
-    return total
-
-
 def register_model(spark: SparkSession, name: str, model: PipelineModel) -> list[str]:
     """Make a trained model callable from SQL as ``name(feature, ...)``.
 
@@ -99,6 +87,18 @@ def register_model(spark: SparkSession, name: str, model: PipelineModel) -> list
         raise TypeError(f"no SQL form for {type(regressor).__name__}")
     shared = spark.sparkContext.broadcast(parts)
 
+    # Kept inside, so workers need not have this package installed.
+    def run_trees(points: np.ndarray, trees: list, weights: Sequence[float]) -> np.ndarray:
+        total = np.zeros(len(points))
+        rows = np.arange(len(points))
+        for (feature, threshold, left, right, value), weight in zip(trees, weights):
+            at = np.zeros(len(points), dtype=int)
+            while (feature[at] >= 0).any():
+                go_left = points[rows, np.maximum(feature[at], 0)] <= threshold[at]
+                at = np.where(feature[at] < 0, at, np.where(go_left, left[at], right[at]))
+            total += weight * value[at]
+        return total
+
     @F.pandas_udf("double")
     def predict(*columns: pd.Series) -> pd.Series:
         held = shared.value
@@ -106,7 +106,7 @@ def register_model(spark: SparkSession, name: str, model: PipelineModel) -> list
         if "line" in held:
             weights, intercept = held["line"]
             return pd.Series(points @ weights + intercept)
-        return pd.Series(_run_trees(points, *held["trees"]))
+        return pd.Series(run_trees(points, *held["trees"]))
 
     spark.udf.register(name, predict)
     return assembler.getInputCols()

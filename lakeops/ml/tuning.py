@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from lakeops.ml import regression
+from lakeops.operators.sizing import spread
 from lakeops.sources.files import literal_rows
 
 TRIAL_SCHEMA = "trial long, n_components long, max_depth long, learning_rate double, n_estimators long, loss double"
@@ -62,13 +63,13 @@ def search(
     keep several of them submitted. The trials table has ``max_evals`` rows.
     """
     columns = [*features, label]
-    parts = [p.select(*columns).persist(StorageLevel.MEMORY_AND_DISK) for p in (train_df, test_df)]
+    parts = [spread(p.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK) for p in (train_df, test_df)]
     evaluator = regression.rmse_evaluator(label)
 
     def trial(draw: dict) -> float:
         settings = {k: draw[k] for k in ("max_depth", "learning_rate", "n_estimators")}
         regressor = regression.boosted_trees(label, **settings, seed=seed)
-        model = regression.train(parts[0], features, regressor, draw["n_components"])
+        model = regression.fit(parts[0], features, regressor, draw["n_components"])
         return evaluator.evaluate(model.transform(parts[1]))
 
     draws = space.draws(max_evals, seed)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SPLIT_BYTES = 128 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
@@ -28,3 +29,14 @@ def measure(df: DataFrame) -> tuple[int, int]:
 def fits_broadcast(df: DataFrame) -> bool:
     rows, size = measure(df)
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of input too small to have a split per core.
+
+    For iterative fits, where one shuffle is repaid by every later pass. Larger
+    input is left as its splits are. The estimate only steers speed.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if estimate < cores * SPLIT_BYTES else df
