@@ -78,12 +78,16 @@ def one_per_key(source: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def matched_flag() -> Column:
-    """True on a single source match; a second match for one target row is an error."""
+    """True on a single source match; a second match for one target row is an error.
+
+    The row number makes the error depend on the joined row. Without it the
+    optimizer may test the source before the join, where an unmatched repeated key
+    is no error.
+    """
+    repeated = (F.col("_hits") > 1) & (F.monotonically_increasing_id() >= 0)
+    message = F.lit("merge: several source rows match one target row")
     return (
-        F.when(
-            F.col("_hits") > 1,
-            F.raise_error(F.lit("merge: several source rows match one target row")).cast("boolean"),
-        )
+        F.when(repeated, F.raise_error(message).cast("boolean"))
         .when(F.col("_hits") == 1, F.lit(True))
         .otherwise(F.lit(False))
     )

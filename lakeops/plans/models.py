@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timedelta, timezone
 
-from pyspark.ml.feature import PCA
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseMatrix
 from pyspark.sql import DataFrame, SparkSession
@@ -76,17 +76,22 @@ def elastic_net_fit(spark: SparkSession, d: str) -> DataFrame:
     return literal_rows(spark, rows, "term string, value double")
 
 
+def twice_scored(df: DataFrame, first: PipelineModel, second: PipelineModel) -> DataFrame:
+    """Predictions of two models side by side, row by row."""
+    once = first.transform(df).select(*FEATURES, "price", F.col("prediction").alias("before"))
+    both = second.transform(once)
+    return both.select("price", F.col("before").alias("prediction"), F.col("prediction").alias("again"))
+
+
 def gbt_fit(spark: SparkSession, d: str) -> DataFrame:
     """Boosted trees on components: better than the mean on held-out rows, and repeatable."""
     train, test = parts(spark, d)
     fits = [
         regression.train(train, FEATURES, regression.boosted_trees("price", n_estimators=10), 3) for _ in range(2)
     ]
-    first = fits[0].transform(test).select(*views.PRICE_KEYS, "price", "prediction")
-    second = fits[1].transform(test).select(*views.PRICE_KEYS, F.col("prediction").alias("again"))
     mean = train.agg(F.avg("price")).scalar()
     squares = F.sum(F.pow(F.col("price") - F.col("prediction"), 2))
-    return first.join(second, views.PRICE_KEYS).agg(
+    return twice_scored(test, *fits).agg(
         F.count("*").alias("rows"),
         (squares < 0.5 * F.sum(F.pow(F.col("price") - mean, 2))).alias("beats_mean"),
         (F.max(F.abs(F.col("prediction") - F.col("again"))) < 1e-9).alias("repeatable"),
@@ -136,9 +141,7 @@ def model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     regressor = regression.elastic_net(train, "price", alpha=0.05, l1_ratio=0.1)
     log = runs.RunLog(spark, scratch.fresh(spark, "runs"))
     run_id, model, _ = runs.run_training(log, "e1", train, test, "price", FEATURES, regressor, 3, {"alpha": 0.05})
-    before = model.transform(test).select(*views.PRICE_KEYS, "prediction")
-    after = log.model(run_id).transform(test).select(*views.PRICE_KEYS, F.col("prediction").alias("again"))
-    return before.join(after, views.PRICE_KEYS).agg(
+    return twice_scored(test, model, log.model(run_id)).agg(
         F.count("*").alias("rows"), F.count(F.when(F.col("prediction") != F.col("again"), 1)).alias("different")
     )
 

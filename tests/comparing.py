@@ -52,9 +52,8 @@ def kind(type_name: str) -> str:
     return name
 
 
-def compare(spark, con, query, sql: str, sf_dir: str) -> str | None:
+def compare(df, con, sql: str) -> str | None:
     """None when equal, else what differs."""
-    df = query(spark, sf_dir)
     names, got = rows_by_name(df.columns, [tuple(r) for r in df.collect()])
     cursor = con.execute(sql)
     described = [(d[0], str(d[1])) for d in cursor.description]
