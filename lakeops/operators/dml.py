@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.operators.sizing import fits_broadcast
+from lakeops.operators.skew import join_one_per_key
 from lakeops.sources.files import literal_rows
 
 
@@ -102,24 +103,19 @@ def unmatched_source(target: DataFrame, source: DataFrame, on: Sequence[str], sm
     """
     keys = target.select(*on)
     if small:
-        wanted = F.broadcast(source.select(*on).distinct())
-        found = F.broadcast(keys.join(wanted, list(on), "left_semi").distinct())
-    else:
-        found = keys.distinct()
-    return source.join(found, list(on), "left_anti").select(source.columns)
+        keys = keys.join(F.broadcast(source.select(*on).distinct()), list(on), "left_semi")
+    return join_one_per_key(source, keys.distinct(), on, "left_anti", small).select(source.columns)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
     """Matched rows take every source column, null included; the rest are inserted.
 
-    A null key matches nothing. The target is the outer, streamed side of the join:
-    with a source measured small it is not shuffled at all, and otherwise a hot
-    target key is split by adaptive skew handling, which needs exactly this side.
+    A null key matches nothing. With a source measured small the target is not
+    shuffled; otherwise only its rows outside hot keys are.
     """
     source = aligned(source, target.schema)
     small = fits_broadcast(source)
-    per_key = one_per_key(source, on)
-    joined = target.join(F.broadcast(per_key) if small else per_key, list(on), "left")
+    joined = join_one_per_key(target, one_per_key(source, on), on, "left", small)
     kept = joined.withColumn("_match", matched_flag()).select(
         [F.when(F.col("_match"), F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c in target.columns]
     )
@@ -131,14 +127,13 @@ def upsert_three_way(target: DataFrame, source: DataFrame, on: Sequence[str]) ->
     source = aligned(source, target.schema)
     small = fits_broadcast(source)
     per_key = one_per_key(source, on)
-    side = F.broadcast(per_key) if small else per_key
     new = unmatched_source(target, source, on, small)
     replaced = (
-        target.join(side, list(on), "inner")
+        join_one_per_key(target, per_key, on, "inner", small)
         .where(matched_flag())
         .select([F.col("_new")[c].alias(c) for c in target.columns])
     )
-    untouched = target.join(side, list(on), "left_anti").select(target.columns)
+    untouched = join_one_per_key(target, per_key, on, "left_anti", small).select(target.columns)
     return untouched.unionByName(replaced).unionByName(new)
 
 

@@ -29,6 +29,7 @@ from lakeops import scratch
 from lakeops.operators import dml
 from lakeops.operators.layout import clustered, target_tasks
 from lakeops.operators.sizing import BROADCAST_ROWS, fits_broadcast
+from lakeops.operators.skew import join_one_per_key
 from lakeops.sources.files import file_inventory, literal_rows
 
 LONG, LONGS = T.LongType(), T.ArrayType(T.LongType())
@@ -266,10 +267,9 @@ class VersionedTable:
         dml.aligned(source, state.schema).write.mode("overwrite").parquet(staging)
         staged = self.spark.read.schema(state.schema).parquet(staging)
         small = fits_broadcast(staged)
-        per_key = dml.one_per_key(staged, on)
         live = self._live(state)
         changed = (
-            live.join(F.broadcast(per_key) if small else per_key, list(on), "inner")
+            join_one_per_key(live, dml.one_per_key(staged, on), on, "inner", small)
             .where(dml.matched_flag())
             .select(*[F.col("_new")[c].alias(c) for c in state.schema.names], *self._replaced())
         )

@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators import dml, sizing
+from lakeops.operators import dml, sizing, skew
 from lakeops.operators.layout import rewrite_folder
 from lakeops.plans import ALL_QUERIES
 from lakeops.plans.table_changes import merge_source
@@ -17,25 +17,23 @@ from lakeops.tables.versioned import VersionedTable
 
 @contextmanager
 def settings(spark, **values):
-    old = {k: spark.conf.get(k) for k in values}
+    old = {k: spark.conf.get(k, None) for k in values}
     try:
         for k, v in values.items():
             spark.conf.set(k, v)
         yield
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def final_plan(df):
-    df.collect()
-    return plan(df)
-
-
 def test_top_k_prunes_pushes_and_does_not_sort(spark, sf_dir, path):
     small = write_small_files(views.flights(spark, sf_dir), f"{path}/small", ["origin"], 4)
     out = rewrite_folder(spark, f"{path}/small", f"{path}/out", small.schema, ["origin"], ["dow"])
@@ -59,29 +57,23 @@ def test_small_upsert_leaves_the_target_where_it_is(spark, sf_dir):
     assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 3
 
 
-def test_hot_target_key_is_split(spark, sf_dir, monkeypatch):
+@pytest.mark.parametrize("key", ["0", "NULL"])
+def test_hot_target_key_is_not_shuffled(spark, sf_dir, monkeypatch, key):
     """One key holds most of the target and the source is too large to broadcast."""
     monkeypatch.setattr(sizing, "BROADCAST_ROWS", -1)
-    rows = views.table(spark, sf_dir, "lineitem").select(
-        F.when(F.col("l_linenumber") <= 5, 0).otherwise(F.col("l_orderkey")).alias("k"),
-        F.concat(F.col("l_shipdate").cast("string"), F.md5(F.col("l_extendedprice").cast("string"))).alias("v"),
+    monkeypatch.setattr(skew, "HOT_ROWS", 500)
+    target = views.table(spark, sf_dir, "lineitem").selectExpr(
+        f"CASE WHEN l_linenumber > 2 THEN {key} ELSE l_orderkey END AS k", "l_returnflag AS v"
     )
-    target = rows.repartition(8).checkpoint()
+    assert [r.k for r in skew.hot_keys(target, ["k"]).collect()] == [None if key == "NULL" else 0]
     source = target.select("k").distinct().withColumn("v", F.lit("new"))
-    with settings(
-        spark,
-        **{
-            "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        },
-    ):
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         merged = dml.merge_upsert(target, source, ["k"])
-        text = final_plan(merged)
-        assert "SortMergeJoin(skew=true)" in text
-        assert merged.where("v <> 'new'").isEmpty() and merged.count() == target.count()
+        text = plan(merged)
+        assert text.count("SortMergeJoin") == 2 and text.count("BroadcastHashJoin") >= 2
+        nulls = target.where("k IS NULL").count()
+        assert merged.where("v <> 'new'").count() == nulls
+        assert merged.count() == target.count() + min(nulls, 1)
 
 
 def test_versions_read_only_their_folders(spark, path):

@@ -14,7 +14,7 @@ from lakeops import scratch
 from lakeops.functions.scalar import key_bucket
 from lakeops.ml import attribution, regression
 from lakeops.ml.scoring import predictor
-from lakeops.operators import dml, layout, sampling, sizing, stats
+from lakeops.operators import dml, layout, sampling, sizing, skew, stats
 from lakeops.sources import views
 from lakeops.sources.files import file_inventory, literal_rows
 from lakeops.sinks.files import write_small_files
@@ -39,9 +39,10 @@ def upserted(target, source):
 
 @few
 @given(target=rows, source=unique)
-@pytest.mark.parametrize("small", [True, False])
-def test_both_upserts(spark, monkeypatch, small, target, source):
+@pytest.mark.parametrize("small, hot", [(True, False), (False, False), (False, True)])
+def test_both_upserts(spark, monkeypatch, small, hot, target, source):
     monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10**6 if small else -1)
+    monkeypatch.setattr(skew, "HOT_ROWS", 1 if hot else 10**6)
     t = literal_rows(spark, target, views.LOAN_SCHEMA)
     s = literal_rows(spark, list(source.items()), views.LOAN_SCHEMA)
     wanted = upserted(target, source)
