@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.sizing import spread
 
-EXACT_FEATURES = 12
+EXACT_FEATURES = 13
 
 
 def background(df: DataFrame, features: Sequence[str], k: int = 10, seed: int = 42) -> DataFrame:
@@ -84,7 +84,7 @@ def shapley_values(
     ``predict`` adds a ``prediction`` column to a frame with the feature columns. A
     row becomes one row per coalition and background point, features outside the
     coalition taken from the point; all are scored together, averaged per coalition
-    and combined. Up to twelve features every coalition is used, beyond that those
+    and combined. Up to thirteen features every coalition is used, beyond that those
     of sampled orderings. The shares of a row sum to its prediction minus the
     background's.
     """

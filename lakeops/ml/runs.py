@@ -43,7 +43,8 @@ class RunLog:
     path: str
 
     def runs(self) -> DataFrame:
-        return self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.path}/runs")
+        reader = self.spark.read.schema(RUN_SCHEMA).option("recursiveFileLookup", "true")
+        return reader.parquet(f"{self.path}/runs")
 
     def record(
         self,
@@ -71,7 +72,8 @@ class RunLog:
             [*(tags or {}).items(), ("run_id", run_id)],
             model_path,
         )
-        literal_rows(self.spark, [row], RUN_SCHEMA).write.mode("append").parquet(f"{self.path}/runs")
+        # A folder per run: runs recorded at the same time do not meet.
+        literal_rows(self.spark, [row], RUN_SCHEMA).write.parquet(f"{self.path}/runs/run={run_id}")
         return run_id
 
     def model(self, run_id: str) -> PipelineModel:

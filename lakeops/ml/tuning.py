@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from lakeops.ml import regression
+from lakeops.ml.runs import RunLog
 from lakeops.operators.sizing import spread
 from lakeops.sources.files import literal_rows
 
@@ -56,11 +57,15 @@ def search(
     max_evals: int = 8,
     parallelism: int = 4,
     seed: int = 42,
+    log: RunLog | None = None,
+    experiment_id: str = "",
+    parent_run_id: str | None = None,
 ) -> DataFrame:
     """One row per trial with its settings and held-out error.
 
     Every trial is a distributed fit over the same two persisted parts; threads only
-    keep several of them submitted. The trials table has ``max_evals`` rows.
+    keep several of them submitted. The trials table has ``max_evals`` rows. With a
+    ``log`` every trial is also recorded, under ``parent_run_id``.
     """
     columns = [*features, label]
     parts = [spread(p.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK) for p in (train_df, test_df)]
@@ -70,7 +75,11 @@ def search(
         settings = {k: draw[k] for k in ("max_depth", "learning_rate", "n_estimators")}
         regressor = regression.boosted_trees(label, **settings, seed=seed)
         model = regression.fit(parts[0], features, regressor, draw["n_components"])
-        return evaluator.evaluate(model.transform(parts[1]))
+        loss = evaluator.evaluate(model.transform(parts[1]))
+        if log is not None:
+            tags = {"features": ",".join(features)}
+            log.record(experiment_id, draw, {"test_rmse": loss}, tags, model, parent_run_id=parent_run_id)
+        return loss
 
     draws = space.draws(max_evals, seed)
     try:

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops import scratch
-from lakeops.functions.scalar import safe_identifier, sample_order, zero_clean
+from lakeops.functions.scalar import safe_identifier
 from lakeops.operators import reshape, sampling, stats
 from lakeops.plans import texts
 from lakeops.plans.texts import with_
-from lakeops.sinks.files import save_as_table, write_parquet, write_partitioned
+from lakeops.sinks.files import write_parquet, write_partitioned
 from lakeops.sources import files, views
 
 HISTOGRAM_BINS = 10

@@ -13,6 +13,9 @@ from lakeops.sources.files import stream_parquet
 from lakeops.streaming.aggregates import refreshed, running_rmse, running_sum
 from lakeops.tables.versioned import VersionedTable
 
+# State stores for results of a few dozen groups; tasks pre-aggregate whatever comes.
+FEW_GROUPS = 4
+
 
 def stream_sum_by_key(spark: SparkSession, d: str) -> DataFrame:
     """Running sum by state over a versioned table that received six inserts."""
@@ -21,14 +24,14 @@ def stream_sum_by_key(spark: SparkSession, d: str) -> DataFrame:
     for _ in range(6):
         table.insert([("S7", 4500)])
     sums = running_sum(table.stream(max_files=4), "addr_state", "cnt", "loans")
-    return refreshed(spark, sums, "stream-sum").catch_up()
+    return refreshed(spark, sums, "stream-sum", FEW_GROUPS).catch_up()
 
 
 def stream_incremental(spark: SparkSession, d: str) -> DataFrame:
     """Appends between two runs that share a checkpoint: only new files are read."""
     events = views.table(spark, d, "events").select("event_type", (F.col("value") * 100).cast("bigint").alias("cents"))
     table = VersionedTable.create(spark, scratch.fresh(spark, "stream-events"), events)
-    result = refreshed(spark, running_sum(table.stream(), "event_type", "cents", "cents"), "stream-incremental")
+    result = refreshed(spark, running_sum(table.stream(), "event_type", "cents", "cents"), "stream-incremental", FEW_GROUPS)
     result.catch_up()
     table.append(events.where("event_type = 'click'"))
     table.delete(F.col("event_type") == "view")
@@ -41,7 +44,7 @@ def stream_rmse_by_batch(spark: SparkSession, d: str) -> DataFrame:
     pred = views.pred(spark, d)
     pred.write.parquet(path)
     rmse = running_rmse(stream_parquet(spark, path, pred.schema, max_files=8), "batch", "price", "prediction")
-    out = refreshed(spark, rmse, "stream-rmse").catch_up()
+    out = refreshed(spark, rmse, "stream-rmse", FEW_GROUPS).catch_up()
     return out.select("batch", F.round("rmse", 4).alias("rmse"))
 
 

@@ -17,12 +17,17 @@ from lakeops import scratch
 
 
 class RefreshedResult:
-    """A streaming query and the place its latest complete result is found."""
+    """A streaming query and the place its latest complete result is found.
 
-    def __init__(self, result: DataFrame, path: str, checkpoint: str):
+    ``state_partitions`` is the number of state stores when the session's shuffle
+    width is more than the groups need; it is fixed by the first start.
+    """
+
+    def __init__(self, result: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None):
         self.result = result
         self.path = path.rstrip("/")
         self.checkpoint = checkpoint
+        self.state_partitions = state_partitions
 
     def _writer(self) -> Callable[[DataFrame, int], None]:
         path = self.path
@@ -41,7 +46,17 @@ class RefreshedResult:
             .option("checkpointLocation", self.checkpoint)
             .foreachBatch(self._writer())
         )
-        return (writer.trigger(**trigger) if trigger else writer).start()
+        writer = writer.trigger(**trigger) if trigger else writer
+        if self.state_partitions is None:
+            return writer.start()
+        # A query keeps the settings it was started with.
+        conf = self.result.sparkSession.conf
+        before = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", str(self.state_partitions))
+        try:
+            return writer.start()
+        finally:
+            conf.set("spark.sql.shuffle.partitions", before)
 
     def catch_up(self) -> DataFrame:
         """Take in everything there is, then return the result."""
@@ -71,10 +86,12 @@ def sql_over_stream(stream: DataFrame, sql: str) -> DataFrame:
     return stream.sparkSession.sql(sql.format(stream=view))
 
 
-def refreshed(spark: SparkSession, result: DataFrame, label: str) -> RefreshedResult:
+def refreshed(
+    spark: SparkSession, result: DataFrame, label: str, state_partitions: int | None = None
+) -> RefreshedResult:
     """A result refreshed into a folder of its own under the shared folder."""
     home = scratch.fresh(spark, label)
-    return RefreshedResult(result, f"{home}/out", f"{home}/checkpoint")
+    return RefreshedResult(result, f"{home}/out", f"{home}/checkpoint", state_partitions)
 
 
 def running_sum(stream: DataFrame, by: str, value: str, name: str) -> DataFrame:

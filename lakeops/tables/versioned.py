@@ -207,12 +207,17 @@ class VersionedTable:
         return file_inventory(self.spark, *[f"{base}/{p}" for p in paths], base=base)
 
     def detail(self) -> DataFrame:
-        """Format, version, row count, file count and bytes of the current version."""
+        """Format, version, row count, file count and bytes of the current version.
+
+        ``pending_removals`` rows are filtered out by every read; when they are many,
+        optimize is due.
+        """
         state = self._snapshot()
         return self.files().agg(
             F.lit("parquet").alias("format"),
             F.lit(state.version).cast("long").alias("version"),
             F.lit(state.live_rows).cast("long").alias("num_rows"),
+            F.lit(sum(c.rows_removed for c in state.removals)).cast("long").alias("pending_removals"),
             F.count(F.lit(1)).alias("num_files"),
             F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("long").alias("size_bytes"),
         )
@@ -245,18 +250,29 @@ class VersionedTable:
         return self._commit("OVERWRITE", state, schema, rows=dml.conform(df, schema), fresh=True)
 
     def delete(self, predicate: Column) -> int:
-        """Record the identities of matching rows; no row is rewritten."""
+        """Record the identities of matching rows; no row is rewritten.
+
+        Identities are few bytes from many tasks, so they are gathered into few files.
+        """
         state = self._snapshot()
         gone = self._live(state).where(predicate).select(F.col("_version").alias("_origin"), "_row_id")
-        return self._commit("DELETE", state, state.schema, removed=gone, params={"predicate": str(predicate)})
+        params = {"predicate": str(predicate)}
+        return self._commit("DELETE", state, state.schema, removed=gone.hint("rebalance"), params=params)
 
-    def update(self, predicate: Column, assignments: dict[str, Column | object]) -> int:
-        """Write new forms of matching rows only."""
+    def update(
+        self, predicate: Column, assignments: dict[str, Column | object], gather: bool = False
+    ) -> int:
+        """Write new forms of matching rows only.
+
+        By default each task writes its own, without a shuffle. ``gather`` is for
+        predicates few rows meet: it shuffles those rows into few files.
+        """
         state = self._snapshot()
         values = dml.assigned(state.schema, assignments)
         changed = self._live(state).where(predicate).select(
             *[values.get(c, F.col(c)).alias(c) for c in state.schema.names], *self._replaced()
         )
+        changed = changed.hint("rebalance") if gather else changed
         return self._commit("UPDATE", state, state.schema, rows=changed, params={"predicate": str(predicate)})
 
     def merge(self, source: DataFrame, on: Sequence[str]) -> int:
@@ -278,9 +294,8 @@ class VersionedTable:
             F.lit(None).cast("long").alias("_old_version"),
             F.lit(None).cast("long").alias("_old_row_id"),
         )
-        version = self._commit(
-            "MERGE", state, state.schema, rows=changed.unionByName(new), params={"on": ",".join(on)}
-        )
+        written = changed.unionByName(new).hint("rebalance")
+        version = self._commit("MERGE", state, state.schema, rows=written, params={"on": ",".join(on)})
         scratch.delete(self.spark, staging)
         return version
 
@@ -521,8 +536,10 @@ class VersionedTable:
             added, gone, touched = written.agg(
                 F.count(F.lit(1)), F.count("_old_version"), F.collect_set("_old_version")
             ).first()
-            removed = written.where(F.col("_old_version").isNotNull()).select(
-                F.col("_old_version").alias("_origin"), F.col("_old_row_id").alias("_row_id")
+            removed = (
+                written.where(F.col("_old_version").isNotNull())
+                .select(F.col("_old_version").alias("_origin"), F.col("_old_row_id").alias("_row_id"))
+                .hint("rebalance")
             )
         elif removed is not None:
             removed.write.mode("overwrite").parquet(removed_path)

@@ -183,7 +183,7 @@ def exact_shares(f, row, points, shares, count):
     return out
 
 
-@pytest.mark.parametrize("exact", [12, 0])
+@pytest.mark.parametrize("exact", [13, 0])
 def test_shapley_against_brute_force(spark, monkeypatch, exact):
     monkeypatch.setattr(attribution, "EXACT_FEATURES", exact)
     names = ["p", "q", "r"]
