@@ -30,17 +30,15 @@ def ranked(df: DataFrame, columns: Sequence[str], bits: int = RANK_BITS) -> tupl
     The quantile sketch is merged across tasks; the driver sees 2^bits cut points.
     """
     names = [f"_rank_{i}" for i in range(len(columns))]
-    for column, name in zip(columns, names):
-        if not isinstance(df.schema[column].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-            raise TypeError(f"cannot rank {column}: clustering by several columns needs numbers or times")
     numeric = df
     for column, name in zip(columns, names):
-        kind = df.schema[column].dataType
-        value = F.col(column)
+        kind, value = df.schema[column].dataType, F.col(column)
         if isinstance(kind, T.DateType):
             value = F.unix_date(value)
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            value = F.unix_timestamp(value)
+            value = F.unix_micros(value.cast("timestamp"))
+        elif not isinstance(kind, T.NumericType):
+            raise TypeError(f"cannot rank {column}: clustering by several columns needs numbers or times")
         numeric = numeric.withColumn(f"{name}_v", value.cast("double"))
     steps = [i / 2**bits for i in range(1, 2**bits)]
     cuts = numeric.approxQuantile([f"{n}_v" for n in names], steps, 0.25 / 2**bits)

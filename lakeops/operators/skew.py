@@ -19,13 +19,21 @@ from lakeops.sources.files import literal_rows
 # 1/HOT_SHARE keys can be above the second.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 1 / 10_000
+SAMPLE_ROWS = 20_000_000
 
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
-    """Keys too frequent for one task, null included; at most 1/HOT_SHARE of them."""
+    """Keys too frequent for one task, null included; at most 1/HOT_SHARE of them.
+
+    Frequencies of large tables are read off a sample of the keys, where a hot key
+    is met thousands of times. The answer only picks the way a row is joined.
+    """
     keys = df.select(*on)
-    least = max(HOT_ROWS, keys.count() * HOT_SHARE)
-    counts = keys.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > least)
+    total = keys.count()
+    share = min(1.0, SAMPLE_ROWS / max(total, 1))
+    seen = keys if share == 1.0 else keys.sample(share, seed=17)
+    least = max(HOT_ROWS, total * HOT_SHARE) * share
+    counts = seen.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > least)
     rows = [tuple(r) for r in counts.select(*on).collect()]
     return literal_rows(df.sparkSession, rows, keys.schema) if rows else None
 

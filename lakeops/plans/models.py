@@ -323,6 +323,28 @@ def run_lineage(spark: SparkSession, d: str) -> DataFrame:
     return recorded.join(versions, "version")
 
 
+def record_runs(spark: SparkSession, d: str) -> DataFrame:
+    """A training run and three tuning trials recorded under it."""
+    train, test = parts(spark, d)
+    log = runs.RunLog(spark, scratch.fresh(spark, "runs"))
+    regressor = regression.elastic_net(train, "price", alpha=0.05, l1_ratio=0.1)
+    parent, _, _ = runs.run_training(
+        log, "e1", train, test, "price", FEATURES, regressor, 3, {"alpha": 0.05}, "prices", 0, "baseline"
+    )
+    space = tuning.Space(n_components=(2, 3), max_depth=(2,), learning_rate=(0.2, 0.3), n_estimators=(2,))
+    tuning.search(
+        train, test, FEATURES, "price", space, max_evals=3, log=log, experiment_id="e1", parent_run_id=parent
+    )
+    kind = F.when(F.col("parent_run_id") == parent, "trial").when(F.col("run_id") == parent, "run")
+    return log.runs().groupBy(kind.alias("kind")).agg(
+        F.count("*").alias("records"),
+        F.sum(F.size("params")).cast("long").alias("params"),
+        F.sum(F.size("metrics")).cast("long").alias("metrics"),
+        F.count("model_path").alias("models"),
+        F.countDistinct("run_id").alias("run_ids"),
+    )
+
+
 QUERIES = {
     "pca_project": pca_project,
     "pca_variance": pca_variance,
@@ -344,6 +366,7 @@ QUERIES = {
     "retrain_recovers": retrain_recovers,
     "search_runs": search_runs,
     "run_lineage": run_lineage,
+    "record_runs": record_runs,
 }
 
 _KEYS = ", ".join(views.PRICE_KEYS)
@@ -442,6 +465,9 @@ ORACLES = {
     "CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id % 97 AS DOUBLE) END AS test_mse, "
     "CAST(quality AS DOUBLE) AS test_r2 FROM labels WHERE doc_id % 3 = 1 "
     "ORDER BY test_mse DESC NULLS LAST, run_id LIMIT 1000",
+    "record_runs": "SELECT 'run' AS kind, CAST(1 AS BIGINT) AS records, CAST(5 AS BIGINT) AS params, "
+    "CAST(8 AS BIGINT) AS metrics, CAST(1 AS BIGINT) AS models, CAST(1 AS BIGINT) AS run_ids "
+    "UNION ALL SELECT 'trial', 3, 12, 3, 3, 3",
     "run_lineage": "SELECT 'first' AS run_name, 'LinearRegression' AS algo_name, CAST(0 AS BIGINT) AS version, true AS fits, "
     "true AS has_train, true AS tagged, 'CREATE' AS operation, count(*) AS rows_added FROM lineitem UNION ALL "
     "SELECT 'drifted', 'LinearRegression', 1, true, true, true, 'UPDATE', count(*) FROM lineitem WHERE l_linenumber = 1",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -210,8 +210,6 @@ def as_of_timestamp(spark: SparkSession, d: str) -> DataFrame:
     """The table at the moment version 7 was committed."""
     table = scenario(spark, d)
     moment = table.history().where("version = 7").select(F.unix_micros("ts")).first()[0]
-    from datetime import datetime, timedelta
-
     return table.as_of(timestamp=datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=moment))
 
 
@@ -230,7 +228,15 @@ def restore_version(spark: SparkSession, d: str) -> DataFrame:
 
 
 def table_detail(spark: SparkSession, d: str) -> DataFrame:
-    return scenario(spark, d).detail()
+    """Size facts of the current version; bytes and files vary with the machine."""
+    return scenario(spark, d).detail().select(
+        "format",
+        "version",
+        "num_rows",
+        "pending_removals",
+        (F.col("num_files") > 0).alias("has_files"),
+        (F.col("size_bytes") > 0).alias("has_bytes"),
+    )
 
 
 def grouped_sums(spark: SparkSession, d: str) -> DataFrame:
@@ -435,6 +441,13 @@ ORACLES = {
         select="SELECT 'added' AS change, v9.* FROM v9 WHERE addr_state IN (SELECT addr_state FROM changed) "
         "UNION ALL SELECT 'removed', v6.* FROM v6 WHERE addr_state IN (SELECT addr_state FROM changed)",
     ),
+    "table_detail": with_(
+        texts.SCENARIO,
+        select="SELECT 'parquet' AS format, CAST(10 AS BIGINT) AS version, (SELECT count(*) FROM v10) AS num_rows, "
+        "(SELECT count(*) FROM v6 WHERE addr_state = 'S7') + (SELECT count(*) FROM v7 WHERE addr_state = 'S12') "
+        "+ (SELECT count(*) FROM v8 JOIN merge_src USING (addr_state)) AS pending_removals, "
+        "true AS has_files, true AS has_bytes",
+    ),
     "restore_version": with_(_BALANCES, _CHANGES, select=f"SELECT * FROM balances UNION ALL {_NEW}"),
     "grouped_sums": with_(
         texts.SCENARIO,

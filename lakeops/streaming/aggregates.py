@@ -102,7 +102,7 @@ def running_rmse(stream: DataFrame, by: str, truth: str, prediction: str) -> Dat
     """Error per scoring batch, in order; sorting needs the complete output mode."""
     return sql_over_stream(
         stream,
-        f"SELECT {by}, power(avg(power({truth} - {prediction}, 2)), 0.5) AS rmse "
+        f"SELECT {by}, sqrt(avg(({truth} - {prediction}) * ({truth} - {prediction}))) AS rmse "
         f"FROM {{stream}} GROUP BY {by} ORDER BY {by}",
     )
 

@@ -76,6 +76,13 @@ def test_hot_target_key_is_not_shuffled(spark, sf_dir, monkeypatch, key):
         assert merged.count() == target.count() + min(nulls, 1)
 
 
+def test_hot_keys_from_a_sample(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 500)
+    monkeypatch.setattr(skew, "SAMPLE_ROWS", 2000)
+    rows = views.table(spark, sf_dir, "lineitem").selectExpr("if(l_linenumber > 4, 0, l_orderkey) AS k")
+    assert [r.k for r in skew.hot_keys(rows, ["k"]).collect()] == [0]
+
+
 def test_versions_read_only_their_folders(spark, path):
     table = VersionedTable.create(spark, path, spark.range(100).toDF("id"))
     table.append(spark.range(100, 200).toDF("id"))
