@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -15,6 +17,8 @@ from lakeops import scratch
 from lakeops.operators.sizing import spread
 from lakeops.operators.stats import metric_columns
 
+ATTEMPTS = 4
+
 
 def component_stages(features: Sequence[str] | str, components: int) -> list:
     """Assemble, centre and project. Spark's PCA does not centre what it transforms,
@@ -72,9 +76,30 @@ def boosted_trees(
     )
 
 
+def fit_components(df: DataFrame, features: Sequence[str] | str, components: int) -> PipelineModel:
+    """Fit the component stages.
+
+    The decomposition Spark runs on the covariances very rarely fails to converge.
+    Sums added in another order differ in their last bits, which is enough for it to
+    succeed, so the fit is tried again on another partitioning.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    for attempt in range(ATTEMPTS):
+        data = df if attempt == 0 else df.repartition(cores + attempt)
+        try:
+            return Pipeline(stages=component_stages(features, components)).fit(data)
+        except Py4JJavaError as error:
+            if "NotConvergedException" not in str(error.java_exception) or attempt == ATTEMPTS - 1:
+                raise
+            warnings.warn(f"decomposition did not converge in attempt {attempt + 1}", stacklevel=2)
+    raise AssertionError
+
+
 def fit(df: DataFrame, features: Sequence[str] | str, regressor: Estimator, components: int) -> PipelineModel:
+    """Components, then the regressor on them, as one model."""
     scratch.root(df.sparkSession)
-    return Pipeline(stages=[*component_stages(features, components), regressor]).fit(df)
+    projection = fit_components(df, features, components)
+    return PipelineModel([*projection.stages, regressor.fit(projection.transform(df))])
 
 
 def train(df: DataFrame, features: Sequence[str] | str, regressor: Estimator, components: int) -> PipelineModel:

@@ -43,7 +43,7 @@ def pca_project(spark: SparkSession, d: str) -> DataFrame:
     vectors = views.table(spark, d, "embeddings").select(
         "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("raw")
     )
-    model = regression.Pipeline(stages=regression.component_stages("raw", EMBEDDING_SIZE)).fit(vectors)
+    model = regression.fit_components(vectors, "raw", EMBEDDING_SIZE)
     axes = vector_to_array("features")
     squares = F.aggregate(axes, F.lit(0.0), lambda total, x: total + x * x)
     return model.transform(vectors).select("vec_id", F.round(squares, 4).alias("squared_length"))
@@ -52,7 +52,7 @@ def pca_project(spark: SparkSession, d: str) -> DataFrame:
 def pca_variance(spark: SparkSession, d: str) -> DataFrame:
     """Shares of variance of the price features' components: descending, together one."""
     train, _ = parts(spark, d)
-    fitted = regression.Pipeline(stages=regression.component_stages(FEATURES, len(FEATURES))).fit(train)
+    fitted = regression.fit_components(train, FEATURES, len(FEATURES))
     shares = fitted.stages[-1].explainedVariance.toArray().tolist()
     axes: DenseMatrix = fitted.stages[-1].pc
     lengths = (axes.toArray() ** 2).sum(axis=0)

@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
@@ -96,3 +97,34 @@ def test_drift_steps_zero_one_more_column_each(spark, sf_dir):
     assert [[v == 0 for v in row] for row in sums] == [
         [False, False, False], [True, False, False], [True, True, False], [True, True, True],
     ]
+
+
+def test_components_are_fitted_again_when_the_decomposition_fails(spark, parts, monkeypatch):
+    class Cause:
+        def __str__(self):
+            return "breeze.linalg.NotConvergedException: "
+
+    class Failure(Py4JJavaError):
+        def __init__(self):
+            self.java_exception = Cause()
+
+        def __str__(self):
+            return "failed"
+
+    tries = []
+    fit = regression.Pipeline.fit
+
+    def flaky(self, data):
+        tries.append(data)
+        if len(tries) < 3:
+            raise Failure
+        return fit(self, data)
+
+    monkeypatch.setattr(regression.Pipeline, "fit", flaky)
+    with pytest.warns(UserWarning, match="did not converge"):
+        model = regression.fit_components(parts[0], FEATURES, 2)
+    assert len(tries) == 3 and model.stages[-1].pc.numCols == 2
+    tries.clear()
+    monkeypatch.setattr(regression, "ATTEMPTS", 1)
+    with pytest.raises(Py4JJavaError):
+        regression.fit_components(parts[0], FEATURES, 2)

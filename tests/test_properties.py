@@ -204,7 +204,7 @@ def test_shapley_against_brute_force(spark, monkeypatch, exact):
 
 def test_components_are_orthonormal_and_centred(spark, sf_dir):
     data = views.price(spark, sf_dir)
-    fitted = regression.Pipeline(stages=regression.component_stages(views.PRICE_FEATURES, 3)).fit(data)
+    fitted = regression.fit_components(data, views.PRICE_FEATURES, 3)
     axes = fitted.stages[-1].pc.toArray()
     assert np.allclose(axes.T @ axes, np.eye(3), atol=1e-9)
     shares = fitted.stages[-1].explainedVariance.toArray()
