@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators import sizing
 from lakeops.sources.files import literal_rows
 
 # A key is hot above both: fewer rows are no burden to a task, and no more than
@@ -44,17 +45,20 @@ def join_one_per_key(
     """Join rows to at most one row per key: ``left``, ``inner`` or ``left_anti``.
 
     A right side measured ``small`` is broadcast. Otherwise hot keys of the left side
-    are split off: the right rows they can meet are as few as the keys.
+    are split off: the right rows they can meet are as few as the keys, and are
+    measured in case they are very wide.
     """
     if small:
         return left.join(F.broadcast(right), list(on), how)
     hot = hot_keys(left, on)
     if hot is None:
         return left.join(right, list(on), how)
+    met = right.join(F.broadcast(hot), list(on), "left_semi")
+    if sizing.measure(met)[1] > sizing.BROADCAST_BYTES:
+        return left.join(right, list(on), how)
     flags = hot.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(on)], F.lit(True).alias("_hot"))
     same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(flags[f"_hot_{i}"]) for i, k in enumerate(on)])
     flagged = left.join(F.broadcast(flags), same, "left").select(*[left[c] for c in left.columns], "_hot")
-    met = right.join(F.broadcast(hot), list(on), "left_semi")
     hot_rows = flagged.where(F.col("_hot").isNotNull()).drop("_hot")
     other_rows = flagged.where(F.col("_hot").isNull()).drop("_hot")
     return hot_rows.join(F.broadcast(met), list(on), how).unionByName(other_rows.join(right, list(on), how))
