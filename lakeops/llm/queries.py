@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import mixing, packing, sharding
+from lakeops.llm import merkle, mixing, packing, quality, sharding, toxicity
 from lakeops.llm.common import documents
 
 SHARDS = 40
@@ -14,6 +14,39 @@ SEQUENCE = 2048
 MIX_SEED = 17
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op2_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op4_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text against its edited form and against the next document."""
+    rows = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = merkle.with_next(rows, "doc_id", "text", "next_text")
+    rows = rows.withColumn("edited_text", merkle.edited(F.col("text"), F.col("next_text")))
+    for name in ("text", "edited_text", "next_text"):
+        rows = merkle.with_tree(rows, name, f"{name}_tree")
+        rows = rows.withColumn(f"{name}_pieces", merkle.pieces(F.col(f"{name}_tree")))
+
+    def near(other: str):
+        return merkle.likeness(
+            F.col("text_tree.root"), F.col("text_pieces"), F.col(f"{other}_tree.root"), F.col(f"{other}_pieces")
+        )
+
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        merkle.as_text(F.col("text_tree")).alias("fingerprint"),
+        merkle.as_text(F.col("edited_text_tree")).alias("edited_fingerprint"),
+        near("edited_text").alias("near_edited"),
+        near("next_text").alias("near_next"),
+    )
+
+
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source to a share that follows the square root of its number of documents."""
     return mixing.mix(documents(spark, sf_dir), power=0.5, seed=MIX_SEED)
@@ -36,10 +69,17 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE)
 
 
+def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES = {
+    "op2_quality_discriminant": op2_quality_discriminant,
+    "op4_merkle_fingerprints": op4_merkle_fingerprints,
     "op5_poisson_mix": op5_poisson_mix,
     "op8_ring_shards": op8_ring_shards,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_weak_toxicity": op10_weak_toxicity,
 }
 
 # Inverts the Poisson distribution at the same hashed number; 45 terms reach beyond 2**-52
