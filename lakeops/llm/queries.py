@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import merkle, mixing, packing, quality, sharding, toxicity
+from lakeops.llm import langid, merkle, mixing, packing, quality, sharding, toxicity
 from lakeops.llm.common import documents
 
 SHARDS = 40
@@ -22,6 +22,10 @@ def op2_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op3_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(documents(spark, sf_dir))
+
+
 def op4_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text against its edited form and against the next document."""
     rows = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -75,6 +79,7 @@ def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_discriminant": op2_quality_discriminant,
+    "op3_byte_language": op3_byte_language,
     "op4_merkle_fingerprints": op4_merkle_fingerprints,
     "op5_poisson_mix": op5_poisson_mix,
     "op8_ring_shards": op8_ring_shards,
