@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import langid, merkle, mixing, packing, quality, sharding, toxicity
+from lakeops.llm import langid, merkle, mixing, neardup, packing, quality, sharding, toxicity
 from lakeops.llm.common import documents
 
 SHARDS = 40
@@ -18,6 +18,11 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neardup.links(vectors, 0.95).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op2_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -78,6 +83,7 @@ def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_cross_polytope": op1_cross_polytope,
     "op2_quality_discriminant": op2_quality_discriminant,
     "op3_byte_language": op3_byte_language,
     "op4_merkle_fingerprints": op4_merkle_fingerprints,
