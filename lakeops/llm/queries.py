@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import langid, merkle, mixing, neardup, packing, quality, sharding, toxicity
+from lakeops.llm import jaccard, langid, merkle, mixing, neardup, packing, quality, sharding, toxicity
 from lakeops.llm.common import documents
 
 SHARDS = 40
@@ -61,6 +61,10 @@ def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir), power=0.5, seed=MIX_SEED)
 
 
+def op6_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf_dir))
+
+
 def op8_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard(documents(spark, sf_dir), SHARDS)
     return rows.select(
@@ -88,6 +92,7 @@ QUERIES = {
     "op3_byte_language": op3_byte_language,
     "op4_merkle_fingerprints": op4_merkle_fingerprints,
     "op5_poisson_mix": op5_poisson_mix,
+    "op6_token_group_join": op6_token_group_join,
     "op8_ring_shards": op8_ring_shards,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_weak_toxicity": op10_weak_toxicity,
