@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import jaccard, langid, merkle, mixing, neardup, packing, quality, sharding, toxicity
+from lakeops.llm import jaccard, langid, licenses, merkle, mixing, neardup, packing, quality, sharding, toxicity
 from lakeops.llm.common import documents
 
 SHARDS = 40
@@ -65,6 +65,10 @@ def op6_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(documents(spark, sf_dir))
 
 
+def op7_license_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op8_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard(documents(spark, sf_dir), SHARDS)
     return rows.select(
@@ -93,6 +97,7 @@ QUERIES = {
     "op4_merkle_fingerprints": op4_merkle_fingerprints,
     "op5_poisson_mix": op5_poisson_mix,
     "op6_token_group_join": op6_token_group_join,
+    "op7_license_bands": op7_license_bands,
     "op8_ring_shards": op8_ring_shards,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_weak_toxicity": op10_weak_toxicity,
@@ -117,4 +122,28 @@ SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
 FROM c
 """
 
-ORACLES = {"op5_poisson_mix": OP5_SQL}
+# Every window that holds a shingle of a template, without hashes or retrieval.
+_NAMES = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
+_WORDS = r"list_filter(regexp_split_to_array(lower({text}), '[^\pL\pN]+'), lambda w: w <> '')"
+OP7_SQL = f"""
+WITH given AS (SELECT * FROM (VALUES {_NAMES}) AS v(license, text)),
+tw AS (SELECT license, {_WORDS.format(text="text")} AS words FROM given),
+t AS (SELECT license, len(words) AS m, greatest(1, len(words) // 4) AS stride, words FROM tw),
+tb AS (SELECT DISTINCT license, m, stride, words[i] || ' ' || words[i + 1] AS pair
+       FROM (SELECT *, unnest(range(1, m)) AS i FROM t)),
+ts AS (SELECT license, count(*) AS held FROM tb GROUP BY license),
+dw AS (SELECT doc_id, {_WORDS.format(text="text")} AS words FROM documents),
+db AS (SELECT doc_id, i - 1 AS place, words[i] || ' ' || words[i + 1] AS pair
+       FROM (SELECT *, unnest(range(1, len(words))) AS i FROM dw)),
+hits AS (SELECT doc_id, license, m, stride, place, pair FROM db JOIN tb USING (pair)),
+starts AS (SELECT *, unnest(range(CAST(greatest(0, ceil((place - m - stride + 3) / CAST(stride AS DOUBLE))) AS BIGINT),
+                                  CAST(place // stride + 1 AS BIGINT))) * stride AS start FROM hits),
+w AS (SELECT doc_id, license, start, count(DISTINCT pair) AS n FROM starts GROUP BY ALL),
+s AS (SELECT doc_id, license, start, CAST(n AS DOUBLE) / held AS containment FROM w JOIN ts USING (license)
+      WHERE CAST(n AS DOUBLE) / held >= {licenses.CONTAINMENT})
+SELECT doc_id, license, max(containment) AS containment,
+       CAST(min(start) FILTER (WHERE containment = top) AS INTEGER) AS first_word, CAST(count(*) AS INTEGER) AS windows
+FROM (SELECT *, max(containment) OVER (PARTITION BY doc_id, license) AS top FROM s) GROUP BY doc_id, license
+"""
+
+ORACLES = {"op7_license_bands": OP7_SQL, "op5_poisson_mix": OP5_SQL}
