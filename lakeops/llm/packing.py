@@ -10,6 +10,7 @@ length. The rows then find their place by rank; no bin, piece or text meets anot
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -22,14 +23,21 @@ from pyspark.sql.window import Window
 from lakeops.llm.common import slices, staged
 
 SALTS = 64
-MEMO_WORDS = 300_000
-SEPARATORS = str.maketrans("\n\t\r", "   ")
+MEMO_WORDS = 600_000
+LEARN_AT_ONCE = 20_000
+BREAK = "~"
+# Texts of these characters alone may be lower-cased here: other languages' rules differ.
+OTHER_SCRIPT = re.compile("[^\\x00-\\x7fÀ-ÖØ-öø-ÿŒœŸ]")
+# A comma or full stop that belongs to a longer run of signs.
+RUN_OF_SIGNS = re.compile(r"[^\w\s][.,](?:\s|$)|_[.,]")
 
 
 class Encoder:
     """Token ids of whole texts as little-endian bytes, with the ids of words seen before kept.
 
-    No token spans a space, so a text's ids are those of its space-separated words.
+    No token spans a space, so a text's ids are those of its space-separated words. Case is
+    ignored by the vocabulary, and a comma or full stop after a letter or digit is a token
+    of its own; both are settled before words are looked up, so that fewer are distinct.
     """
 
     def __init__(self, path: str, words: int = MEMO_WORDS):
@@ -38,9 +46,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words = words
         self.known: dict[str, bytes] = {}
+        self.breaks = self._ids(BREAK)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [text.translate(SEPARATORS).split(" ") for text in texts]
+        parts = [self.split(text) for text in texts]
         new = set().union(*parts).difference(self.known) if parts else set()
         if len(self.known) + len(new) > self.words:
             self.known.clear()
@@ -49,9 +58,32 @@ class Encoder:
         look = self.known.__getitem__
         return [b"".join(map(look, words)) for words in parts]
 
+    @staticmethod
+    def split(text: str) -> list[str]:
+        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        if not OTHER_SCRIPT.search(text):
+            text = text.lower()
+            if not RUN_OF_SIGNS.search(text):
+                text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
     def _learn(self, words: list[str]) -> None:
-        for word, coded in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(coded.ids, dtype="<u4").tobytes()
+        """Encode many words in one call, with a sign between them that none of them holds."""
+        plain = [w for w in words if BREAK not in w]
+        for word in words:
+            if BREAK in word:
+                self.known[word] = self._ids(word).tobytes()
+        for i in range(0, len(plain), LEARN_AT_ONCE):
+            part = plain[i : i + LEARN_AT_ONCE]
+            ids = self._ids(f" {BREAK} ".join(part))
+            cuts = np.flatnonzero(ids == self.breaks[0])
+            coded, start = ids.tobytes(), 0
+            for word, cut in zip(part, [*cuts.tolist(), len(ids)], strict=True):
+                self.known[word] = coded[4 * start : 4 * cut]
+                start = cut + 1
 
 
 _encoders: dict[str, Encoder] = {}
