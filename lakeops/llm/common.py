@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +51,14 @@ def slices(frame: pd.DataFrame, text: str, limit: int = SLICE_BYTES) -> Iterator
         held += size
     if start < len(frame):
         yield frame.iloc[start:]
+
+
+def per_text(function: Callable[[list[str | None]], np.ndarray], text: Column, kind: str = "double") -> Column:
+    """A column computed from whole texts, a slice at a time; other columns stay in the JVM."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            parts = [function(list(part["text"])) for part in slices(batch.to_frame("text"), "text")]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return F.pandas_udf(run, kind)(text.cast("string"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeops.llm import words as W
-from lakeops.llm.common import slices, small_side, staged
+from lakeops.llm.common import per_text, slices, small_side, staged
 from lakeops.llm.graph import components
 
 SHINGLE = 5
@@ -245,6 +245,36 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     its id's other rows. Null ids count as rows but name nothing; a component without
     another id has a null name. Rows with equal ids count each. Other columns are not read.
     """
+    sketched, told = _classes(df, id_col, text_col)
+    named = F.when(F.col("id") != NO_ID, F.col("id"))
+    names = staged(told.groupBy("component").agg(F.min(named).alias("component_id")), "jaccard-names")
+    named_classes = staged(told.join(names, "component").select(F.col("cls").alias("one"), "component_id"), "jaccard-named")
+    worded = sketched.where("n > 0").join(named_classes, "one").select("id", "n", "component_id")
+    empty = sketched.where("n = 0").select("id", "n", named.alias("component_id"))
+    return worded.union(empty).select(named.alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
+def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, all columns: that of the smallest id (null last), and of
+    its rows those of the smallest digest. Rows that repeat an id and a shingle set are one
+    document, and one of them stays. Texts without words all stay."""
+    sketched, told = _classes(df, id_col, text_col)
+    first = F.min(F.struct((F.col("id") == NO_ID).alias("none"), "id", "cls")).alias("f")
+    best = told.groupBy("component").agg(first).select(F.col("f.id").alias("_id"), F.col("f.cls").alias("_one"))
+    empty = sketched.where("n = 0").select(F.col("id").alias("_id"), F.col("one").alias("_one")).distinct()
+    kept = staged(best.union(empty), "jaccard-kept")
+
+    def digest(texts: list[str | None]) -> np.ndarray:
+        return digests(*sets_of(texts), len(texts))[0]
+
+    rows = df.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
+    rows = rows.withColumn("_one", per_text(digest, F.col(text_col), "long"))
+    found = rows.join(small_side(kept), ["_id", "_one"], "left_semi")
+    return found.dropDuplicates(["_id", "_one"]).select(*[F.col(c) for c in df.columns])
+
+
+def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows; and cls, id, component of every class that has words."""
     sketched = sketches(df, id_col, text_col)
     grouped = sketched.where("n > 0").groupBy(F.col("one").alias("cls"))
     real = F.when(F.col("id") != NO_ID, F.col("id"))
@@ -323,11 +353,5 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     members = members.join(guests.select("target").distinct(), "target", "left_semi")
     links = first_links.union(_verify(df, id_col, text_col, members, guests))
     parts = components(links).withColumnRenamed("node", "cls")
-    told = staged(classes.select("cls", "id").join(parts, "cls", "left"), "jaccard-told")
-    told = told.withColumn("component", F.coalesce("component", "cls"))
-    named = F.when(F.col("id") != NO_ID, F.col("id"))
-    names = staged(told.groupBy("component").agg(F.min(named).alias("component_id")), "jaccard-names")
-    named_classes = staged(told.join(names, "component").select(F.col("cls").alias("one"), "component_id"), "jaccard-named")
-    worded = sketched.where("n > 0").join(named_classes, "one").select("id", "n", "component_id")
-    empty = sketched.where("n = 0").select("id", "n", real.alias("component_id"))
-    return worded.union(empty).select(real.alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+    told = classes.select("cls", "id").join(parts, "cls", "left")
+    return sketched, staged(told.withColumn("component", F.coalesce("component", "cls")), "jaccard-told")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm import words as W
-from lakeops.llm.common import held_out, slices, staged
+from lakeops.llm.common import held_out, per_text, slices, staged
 
 STATISTICS = [
     "length",
@@ -202,3 +202,19 @@ def classify(
     rows = described.select(key, F.col("doc_id").isNull().alias("no_id"), "held_out", "x")
     out = rows.mapInPandas(score, "doc_id long, no_id boolean, held_out boolean, score double, predicted int")
     return out.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
+
+
+def only_good(
+    df: DataFrame,
+    labels: DataFrame,
+    label_col: str = "quality",
+    threshold: float = 0.3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``df``, all columns, whose score reaches the threshold; all of them
+    without labels of both classes."""
+    model = fit(describe(df, id_col, text_col), labels, label_col, id_col)
+    if model is None:
+        return df
+    return df.where(per_text(lambda texts: model.scores(statistics(texts)), F.col(text_col)) >= threshold)

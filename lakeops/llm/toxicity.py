@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm import words as W
-from lakeops.llm.common import held_out, slices, staged
+from lakeops.llm.common import held_out, per_text, slices, staged
 
 SAMPLE_ROWS = 20_000
 LEXICON_WORDS = 400
@@ -335,3 +335,17 @@ def classify(
     )
     out = given.mapInPandas(score, "doc_id long, no_id boolean, held_out boolean, score double, predicted int")
     return out.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
+
+
+def without_toxic(
+    df: DataFrame,
+    labels: DataFrame,
+    label_col: str = "toxic",
+    threshold: float = 0.5,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``df``, all columns, whose score is below the threshold; all of them
+    without labels of both classes."""
+    model = fit(df, labels, label_col, id_col, text_col)
+    return df.where(per_text(model.scores, F.col(text_col)) < threshold) if model else df
