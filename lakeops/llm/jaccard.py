@@ -7,7 +7,7 @@ that may hold a partner:
 1. One pass makes a sketch of every text: set size, set digest, a few min-hashes.
 2. Classes that share a pair of min-hashes are compared with one of them, the leader.
    Those links and their components are a first, cheap part of the result.
-3. Groups: the members of a component, and classes without link that share a min-hash.
+3. Groups: the members of a component, and classes without link that share such a pair.
 4. The matrix. A set that links with another shares one of its ``size - 80 % of size + 1``
    rarest tokens, whatever fixed order "rarest" is; so only those are written, as (token,
    group). The order puts the most frequent tokens last, known from a bounded list; the
@@ -228,14 +228,14 @@ def _verify(df: DataFrame, id_col: str, text_col: str, members: DataFrame, guest
     return staged(rows.mapInPandas(compare, "a long, b long"), "cell-links")
 
 
-def _bands(classes: DataFrame, pairs: bool) -> DataFrame:
-    """cls, id, comp, band, key: pairs of neighbouring min-hashes, or single ones."""
-    width = 2 if pairs else 1
+def _bands(classes: DataFrame) -> DataFrame:
+    """cls, id, n, band, key: pairs of neighbouring min-hashes."""
     keys = [
-        F.struct(F.lit(k).alias("band"), F.xxhash64(F.lit(k), *[F.element_at("mins", k + j + 1) for j in range(width)]).alias("key"))
-        for k in range(0, MINS, width)
+        F.struct(F.lit(k).alias("band"), F.xxhash64(F.lit(k), F.element_at("mins", k + 1), F.element_at("mins", k + 2)).alias("key"))
+        for k in range(0, MINS, 2)
     ]
-    return classes.withColumn("b", F.explode(F.array(*keys))).select("cls", "id", "n", F.col("b.band").alias("band"), F.col("b.key").alias("key"))
+    banded = classes.withColumn("b", F.explode(F.array(*keys)))
+    return banded.select("cls", "id", "n", F.col("b.band").alias("band"), F.col("b.key").alias("key"))
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,7 +289,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         raise RuntimeError("two shingle sets have one digest")
 
     # 2. Leaders.
-    banded = _bands(classes, pairs=True)
+    banded = _bands(classes)
     leaders = staged(
         banded.groupBy("band", "key").agg(F.min(F.struct("cls", "id", "n")).alias("l"), F.count(F.lit(1)).alias("c")).where("c > 1"),
         "jaccard-leaders",
@@ -312,7 +312,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     known = classes.join(first_parts.withColumnRenamed("node", "cls"), "cls", "left")
     known = staged(known, "jaccard-known")
     linked = known.where("component IS NOT NULL").select("cls", "id", "n", F.col("component").alias("comp"), F.col("component").alias("group"), F.lit(False).alias("loose"))
-    alone = _bands(known.where("component IS NULL"), pairs=False)
+    alone = _bands(known.where("component IS NULL"))
     crowds = staged(alone.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "jaccard-crowds")
     placed = alone.join(crowds, ["band", "key"]).groupBy("cls").agg(F.max(F.struct("c", "band", "key")).alias("p"))
     loose = known.where("component IS NULL").join(placed, "cls", "left").select(
@@ -320,7 +320,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         "id",
         "n",
         F.col("cls").alias("comp"),
-        F.coalesce(F.xxhash64("p.band", "p.key"), F.col("cls")).alias("group"),
+        F.when(F.col("p").isNotNull(), F.xxhash64("p.band", "p.key")).otherwise(F.col("cls")).alias("group"),
         F.col("p").isNotNull().alias("loose"),
     )
     groups = staged(linked.union(loose), "jaccard-groups")
