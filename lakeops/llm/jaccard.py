@@ -13,10 +13,11 @@ that may hold a partner:
    group). The order puts the most frequent tokens last, known from a bounded list; the
    list changes the work, never the result. Joined by token, the matrix tells which
    classes of the smaller group have to be looked at against the larger one.
-5. A visited group is opened in cells of ``CELL`` members. A cell stores the union of its
-   members' tokens; a visitor with less than 80 % of its tokens in the union is passed
-   over, the others are compared exactly. Classes without link are compared inside their
-   group in the same way.
+5. A visited group is opened in cells of up to about ``CELL_TOKENS`` tokens. A cell stores
+   the union of its members' tokens; a visitor with less than 80 % of its tokens in the
+   union is passed over, the others are compared exactly. Visitors are dealt over tasks in
+   portions as large as the cell, so that few texts are copied. Classes without link are
+   compared inside their group in the same way.
 
 Only links between different components are needed, so a cell gives one link for each
 visitor and component. Shingles are 64-bit hashes; two sets of one digest that differ are
@@ -40,7 +41,9 @@ from lakeops.llm.graph import components
 SHINGLE = 5
 PERCENT = 80
 MINS = 6
-CELL = 256
+# Tokens of a cell at most, and of a portion of its visitors at least (about).
+CELL_TOKENS = 1 << 19
+PORTION_TOKENS = 1 << 15
 FREQUENT = 1 << 16
 NO_ID = -(1 << 63)
 
@@ -160,13 +163,18 @@ def _open(members: tuple, guests: tuple) -> list[tuple[int, int]]:
 
 
 def _verify(df: DataFrame, id_col: str, text_col: str, members: DataFrame, guests: DataFrame) -> DataFrame:
-    """Links a, b between guests and members (target, cls, comp, id) of one target."""
+    """Links a, b between guests and members (target, cls, comp, id, n) of one target.
+
+    A portion of guests has as many tokens as its cell, within the two bounds: a target of
+    at most ``CELL_TOKENS`` is then copied no more often than its guests pay for.
+    """
     members, guests = staged(members, "cell-members"), staged(guests, "cell-guests")
-    parts = [
-        rows.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias(name))
-        for rows, name in ((members, "mc"), (guests, "gc"))
-    ]
-    cells = staged(parts[0].join(parts[1], "target"), "cell-counts")
+    parts = [rows.groupBy("target").agg(F.sum("n").alias(name)) for rows, name in ((members, "mt"), (guests, "gt"))]
+    portion = F.least(F.greatest("mt", F.lit(PORTION_TOKENS)), F.lit(CELL_TOKENS))
+    cells = parts[0].join(parts[1], "target").select(
+        "target", F.ceil(F.col("mt") / CELL_TOKENS).cast("int").alias("mc"), F.ceil(F.col("gt") / portion).cast("int").alias("gc")
+    )
+    cells = staged(cells, "cell-counts")
     involved = members.join(cells, "target", "left_semi").select("id", "cls").union(guests.select("id", "cls")).distinct()
     involved = staged(involved, "cell-classes")
     texts = df.select(
@@ -189,13 +197,18 @@ def _verify(df: DataFrame, id_col: str, text_col: str, members: DataFrame, guest
 
     def side(frame: pd.DataFrame) -> tuple:
         frame = frame.drop_duplicates(["cls", "text"])
-        doc, value = sets_of(list(frame["text"]))
-        # Rows of one id may have several texts: only that of the class counts.
-        right = digests(doc, value, len(frame))[0] == frame["cls"].to_numpy()
-        kept = right[doc]
-        number = np.cumsum(right) - 1
-        frame = frame[right]
-        return frame["cls"].to_numpy(), frame["comp"].to_numpy(), number[doc[kept]], value[kept]
+        kinds, comps, docs, values, before = [], [], [], [], 0
+        for part in slices(frame, "text"):
+            doc, value = sets_of(list(part["text"]))
+            # Rows of one id may have several texts: only that of the class counts.
+            right = digests(doc, value, len(part))[0] == part["cls"].to_numpy()
+            number = np.cumsum(right) - 1 + before
+            docs.append(number[doc[right[doc]]])
+            values.append(value[right[doc]])
+            kinds.append(part["cls"].to_numpy()[right])
+            comps.append(part["comp"].to_numpy()[right])
+            before += int(right.sum())
+        return tuple(np.concatenate(x) for x in (kinds, comps, docs, values))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -298,13 +311,15 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         (F.col("cls") != F.col("l.cls"))
         & (100 * F.least("n", "l.n") >= PERCENT * F.greatest("n", "l.n"))
     )
-    led = staged(led.select("cls", "id", F.col("l.cls").alias("target"), F.col("l.id").alias("target_id")).distinct(), "jaccard-led")
+    led = staged(led.select(
+        "cls", "id", "n", F.col("l.cls").alias("target"), F.col("l.id").alias("target_id"), F.col("l.n").alias("target_n")
+    ).distinct(), "jaccard-led")
     first_links = _verify(
         df,
         id_col,
         text_col,
-        led.select("target", F.col("target").alias("cls"), F.col("target").alias("comp"), F.col("target_id").alias("id")).distinct(),
-        led.select("target", "cls", F.col("cls").alias("comp"), "id"),
+        led.select("target", F.col("target").alias("cls"), F.col("target").alias("comp"), F.col("target_id").alias("id"), F.col("target_n").alias("n")).distinct(),
+        led.select("target", "cls", F.col("cls").alias("comp"), "id", "n"),
     )
     first_parts = components(first_links)
 
@@ -343,12 +358,12 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         & (100 * F.col("most") >= PERCENT * F.col("n"))
         & (100 * F.col("n") >= PERCENT * F.col("least"))
     )
-    visits = visits.select("target", "cls", "comp", "id").distinct()
+    visits = visits.select("target", "cls", "comp", "id", "n").distinct()
     inside = groups.where("loose").join(sizes.where("size > 1 AND loose").select("group"), "group")
-    guests = visits.union(inside.select(F.col("group").alias("target"), "cls", "comp", "id")).distinct()
+    guests = visits.union(inside.select(F.col("group").alias("target"), "cls", "comp", "id", "n")).distinct()
 
     # 5. Cells.
-    members = groups.select(F.col("group").alias("target"), "cls", "comp", "id")
+    members = groups.select(F.col("group").alias("target"), "cls", "comp", "id", "n")
     guests = staged(guests, "jaccard-guests")
     members = members.join(guests.select("target").distinct(), "target", "left_semi")
     links = first_links.union(_verify(df, id_col, text_col, members, guests))
