@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakeops import scratch
 
 # Text handled at once inside a task; bounds the working memory of the vectorised code.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # Rows of two longs that may be broadcast; larger sides are joined by shuffle.
 BROADCAST_ROWS = 1_000_000

@@ -1,6 +1,6 @@
 """Words of many texts at once: numpy over the bytes of a slice of a batch.
 
-A slice is about a megabyte (``common.slices``), so the arrays here stay small.
+A slice is about a quarter megabyte (``common.slices``), so the arrays here stay small.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ def split(texts: list[str | None], separators: np.ndarray = WHITE) -> Words:
     start, end = edge[0::2], edge[1::2]
     doc = np.searchsorted(text_starts, start, side="right") - 1
     low = data + np.uint8(32) * ((data >= 65) & (data <= 90)).astype(np.uint8)
-    size = 1 << max(20, int(data.size).bit_length())
+    size = 1 << max(19, int(data.size).bit_length())
     up, down = _powers(size)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_VALUES[low] * up[: data.size], dtype=np.uint64)])
     hashes = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
