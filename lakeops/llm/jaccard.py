@@ -8,9 +8,10 @@ that may hold a partner:
 2. Classes that share a pair of min-hashes are compared with one of them, the leader.
    Those links and their components are a first, cheap part of the result.
 3. Groups: the members of a component, and classes without link that share such a pair.
-4. The matrix. A set that links with another shares one of its ``size - 80 % of size + 1``
-   rarest tokens, whatever fixed order "rarest" is; so only those are written, as (token,
-   group). The order puts the most frequent tokens last, known from a bounded list; the
+4. The matrix. A set that links with another shares ``k`` of its ``size - 80 % of size +
+   k`` rarest tokens, whatever fixed order "rarest" is; so only those are written, as
+   (token, group), and a class visits a group that holds as many of its tokens. ``k`` is
+   one and a part in ``MORE`` of the size, of the smaller set's in a pair. The order puts the most frequent tokens last, known from a bounded list; the
    list changes the work, never the result. Joined by token, the matrix tells which
    classes of the smaller group have to be looked at against the larger one.
 5. A visited group is opened in cells of up to about ``CELL_TOKENS`` tokens. A cell stores
@@ -45,6 +46,7 @@ MINS = 6
 CELL_TOKENS = 1 << 19
 PORTION_TOKENS = 1 << 15
 FREQUENT = 1 << 16
+MORE = 32
 NO_ID = -(1 << 63)
 
 
@@ -110,7 +112,7 @@ def _frequent(sketched: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefixes(df: DataFrame, id_col: str, text_col: str, tokens: np.ndarray, weight: np.ndarray) -> DataFrame:
-    """(token, cls): the rarest tokens of every set, as many as any partner must share one of."""
+    """(token, cls): the rarest tokens of every set, of which any partner shares some."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -125,7 +127,7 @@ def _prefixes(df: DataFrame, id_col: str, text_col: str, tokens: np.ndarray, wei
                     rank = np.where(tokens[at] == value, weight[at], 0)
                 order = np.lexsort((value, rank, doc))
                 place = np.arange(doc.size) - np.repeat(np.cumsum(n) - n, n)
-                kept = place < (n - -(-PERCENT * n // 100) + 1)[doc]
+                kept = place < (n - -(-PERCENT * n // 100) + 1 + n // MORE)[doc]
                 yield pd.DataFrame({"token": value[order][kept].view(np.int64), "cls": one[doc[kept]]})
 
     return df.select(F.col(text_col).cast("string").alias("text")).mapInPandas(emit, "token long, cls long")
@@ -358,7 +360,10 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
         & (100 * F.col("most") >= PERCENT * F.col("n"))
         & (100 * F.col("n") >= PERCENT * F.col("least"))
     )
-    visits = visits.select("target", "cls", "comp", "id", "n").distinct()
+    # A partner has at least 80 % of the size, and as many tokens of its own were written.
+    needed = 1 + F.floor(F.ceil(PERCENT * F.col("n") / 100) / MORE)
+    visits = visits.groupBy("target", "cls", "comp", "id", "n").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") >= needed)
+    visits = visits.drop("hits")
     inside = groups.where("loose").join(sizes.where("size > 1 AND loose").select("group"), "group")
     guests = visits.union(inside.select(F.col("group").alias("target"), "cls", "comp", "id", "n")).distinct()
 
