@@ -63,7 +63,7 @@ def test_jaccard_does_not_depend_on_cells(spark, monkeypatch, cell):
     monkeypatch.setattr(jaccard, "PORTION_TOKENS", min(cell, jaccard.PORTION_TOKENS))
     passage = " ".join(f"p{i}" for i in range(30))
     texts = {
-        100 * c + k: f"{passage} " + " ".join(f"c{c}w{i}" for i in range(4 * k, 4 * k + 40))
+        100 * c + k: f"{passage} " + " ".join(f"c{c}w{i}" for i in range(2 * k, 2 * k + 40))
         for c in range(8)
         for k in range(12)
     }
