@@ -11,18 +11,22 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.sizing import spread
+# Two to the power of so many coalitions a row is the most the exact method takes on.
+EXACT_FEATURES = 20
+MAX_POINTS = 1000
 
-EXACT_FEATURES = 13
 
-
-def background(df: DataFrame, features: Sequence[str], k: int = 10, seed: int = 42) -> DataFrame:
+def background(
+    df: DataFrame, features: Sequence[str], k: int = 10, seed: int = 42, partitions: int = 64
+) -> DataFrame:
     """At most ``k`` cluster means with the number of rows each stands for.
 
     Means are taken over the final assignment, so their weighted mean is exactly the
-    mean of the data.
+    mean of the data. The starting points are drawn per partition; rows are dealt by
+    value over a stated number of partitions and sorted, so that the clusters do not
+    depend on the cluster's size or the input's files.
     """
-    points = spread(df.select(*features))
+    points = df.select(*features).repartition(partitions, *features).sortWithinPartitions(*features)
     assembled = VectorAssembler(inputCols=list(features), outputCol="_point").transform(points)
     clusters = KMeans(k=k, seed=seed, featuresCol="_point", predictionCol="cluster").fit(assembled)
     return (
@@ -33,8 +37,10 @@ def background(df: DataFrame, features: Sequence[str], k: int = 10, seed: int =
 
 
 def _reference_points(points: DataFrame, features: Sequence[str]) -> Column:
-    """The background as an array of structs; ``k`` rows by construction."""
-    rows = points.select("weight", *features).collect()
+    """The background as an array of structs; at most ``MAX_POINTS`` of them."""
+    rows = points.select("weight", *features).limit(MAX_POINTS + 1).collect()
+    if len(rows) > MAX_POINTS:
+        raise ValueError(f"more than {MAX_POINTS} background points; cluster them first")
     total = sum(r["weight"] for r in rows)
     return F.array(
         *[
@@ -76,6 +82,7 @@ def shapley_values(
     features: Sequence[str],
     points: DataFrame,
     predict: Callable[[DataFrame], DataFrame],
+    method: str = "exact",
     samples: int = 200,
     seed: int = 42,
 ) -> DataFrame:
@@ -84,14 +91,19 @@ def shapley_values(
     ``predict`` adds a ``prediction`` column to a frame with the feature columns. A
     row becomes one row per coalition and background point, features outside the
     coalition taken from the point; all are scored together, averaged per coalition
-    and combined. Up to thirteen features every coalition is used, beyond that those
-    of sampled orderings. The shares of a row sum to its prediction minus the
-    background's.
+    and combined. ``method`` is ``exact``, over every coalition, or ``sampled``, over those
+    of ``samples`` random orderings and their reverses; too many features for the exact
+    method are refused. The shares of a row sum to its prediction minus the background's.
+    A row is scored for every coalition and point: ``rows`` are the few to be explained.
     """
     count = len(features)
+    if method not in ("exact", "sampled"):
+        raise ValueError(method)
+    if method == "exact" and count > EXACT_FEATURES:
+        raise ValueError(f"{count} features: exact attribution takes {EXACT_FEATURES}; use method='sampled'")
     names = F.array(*[F.lit(f) for f in features])
     subset = F.col("_subset")
-    if count <= EXACT_FEATURES:
+    if method == "exact":
         full = 1 << count
         coalitions = F.sequence(F.lit(0).cast("long"), F.lit(full - 1).cast("long"))
         sized = [factorial(s) * factorial(count - s - 1) / factorial(count) for s in range(count)]

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import warnings
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
-from py4j.protocol import Py4JJavaError
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,8 @@ from lakeops import scratch
 from lakeops.operators.sizing import spread
 from lakeops.operators.stats import metric_columns
 
-ATTEMPTS = 4
+# The covariances of so many features, eight bytes each squared, reach the driver.
+MAX_FEATURES = 4096
 
 
 def component_stages(features: Sequence[str] | str, components: int) -> list:
@@ -76,23 +79,73 @@ def boosted_trees(
     )
 
 
+def covariance(df: DataFrame, vector_col: str) -> tuple[np.ndarray, int]:
+    """Sample covariance of a vector column and its row count, in one aggregation.
+
+    Every task adds up its rows; the sums are d x d numbers, d being the vector's length.
+    """
+
+    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch["x"].to_numpy())
+                x = np.concatenate([np.ones((len(x), 1)), x], axis=1)
+                total = x.T @ x if total is None else total + x.T @ x
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(total.size), "v": total.ravel()})
+
+    sums = df.select(vector_to_array(vector_col).alias("x")).mapInPandas(moments, "i int, v double")
+    rows = sums.groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").collect()
+    side = math.isqrt(len(rows))
+    if not side:
+        raise ValueError("no rows to fit components on")
+    if side - 1 > MAX_FEATURES:
+        raise ValueError(f"{side - 1} features; components are fitted on {MAX_FEATURES} at most")
+    total = np.array([r["v"] for r in rows]).reshape(side, side)
+    count = int(total[0, 0])
+    mean = total[0, 1:] / count
+    return (total[1:, 1:] - count * np.outer(mean, mean)) / max(count - 1, 1), count
+
+
+def principal_axes(spread_of: np.ndarray, components: int) -> tuple[np.ndarray, np.ndarray]:
+    """Axes as columns and shares of variance, largest first. The largest entry of an axis
+    is positive, so that the same data give the same axes."""
+    values, axes = np.linalg.eigh((spread_of + spread_of.T) / 2)
+    values, axes = np.maximum(values[::-1], 0.0), axes[:, ::-1]
+    axes = axes * np.where(np.take_along_axis(axes, np.abs(axes).argmax(axis=0)[None], axis=0) < 0, -1.0, 1.0)
+    total = values.sum()
+    shares = values / total if total else values
+    return axes[:, :components], shares[:components]
+
+
 def fit_components(df: DataFrame, features: Sequence[str] | str, components: int) -> PipelineModel:
-    """Fit the component stages.
+    """Fit the component stages: Spark's, but for the decomposition of the d x d matrix.
 
-    The decomposition Spark runs on the covariances very rarely fails to converge.
-    Sums added in another order differ in their last bits, which is enough for it to
-    succeed, so the fit is tried again on another partitioning.
+    The vectors are centred before their products are summed, which keeps the sums exact
+    enough for features far from zero.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    for attempt in range(ATTEMPTS):
-        data = df if attempt == 0 else df.repartition(cores + attempt)
-        try:
-            return Pipeline(stages=component_stages(features, components)).fit(data)
-        except Py4JJavaError as error:
-            if "NotConvergedException" not in str(error.java_exception) or attempt == ATTEMPTS - 1:
-                raise
-            warnings.warn(f"decomposition did not converge in attempt {attempt + 1}", stacklevel=2)
-    raise AssertionError
+    *before, pca = component_stages(features, components)
+    centred = Pipeline(stages=before).fit(df)
+    axes, shares = principal_axes(covariance(centred.transform(df), pca.getInputCol())[0], components)
+    jvm = df.sparkSession._jvm
+    java = jvm.org.apache.spark.ml.feature.PCAModel(
+        pca.uid,
+        jvm.org.apache.spark.ml.linalg.DenseMatrix(axes.shape[0], axes.shape[1], _doubles(df, axes.ravel(order="F")), False),
+        jvm.org.apache.spark.ml.linalg.DenseVector(_doubles(df, shares)),
+    )
+    java.setInputCol(pca.getInputCol()).setOutputCol(pca.getOutputCol())
+    model = PCAModel(java)
+    model._transfer_params_from_java()
+    return PipelineModel([*centred.stages, model])
+
+
+def _doubles(df: DataFrame, values: np.ndarray):
+    spark = df.sparkSession
+    array = spark.sparkContext._gateway.new_array(spark._jvm.double, len(values))
+    for i, value in enumerate(values):
+        array[i] = float(value)
+    return array
 
 
 def fit(df: DataFrame, features: Sequence[str] | str, regressor: Estimator, components: int) -> PipelineModel:

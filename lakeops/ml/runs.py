@@ -29,10 +29,12 @@ RUN_SCHEMA = (
 )
 
 
-def search(runs: DataFrame, experiment_id: str, metric: str, max_results: int = 1000) -> DataFrame:
-    """Runs of an experiment, best metric first; runs without it last."""
+def search(runs: DataFrame, experiment_id: str, metric: str, max_results: int | None = None) -> DataFrame:
+    """Runs of an experiment, best metric first; runs without it last. All of them unless
+    ``max_results`` is stated."""
     found = runs.where(F.col("experiment_id") == experiment_id)
-    return found.orderBy(F.col("metrics")[metric].desc_nulls_last(), "run_id").limit(max_results)
+    found = found.orderBy(F.col("metrics")[metric].desc_nulls_last(), "run_id")
+    return found if max_results is None else found.limit(max_results)
 
 
 @dataclass

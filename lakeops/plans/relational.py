@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,15 +79,18 @@ def ctas_partitioned(spark: SparkSession, d: str) -> DataFrame:
 
 def ctas_catalog(spark: SparkSession, d: str) -> DataFrame:
     """Create a catalog table from a query, then read it by name."""
-    name = "lakeops_flights_by_day"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = f"lakeops_flights_{uuid.uuid4().hex}"
     path = scratch.fresh(spark, "flights-table")
-    views.flights(spark, d).createOrReplaceTempView("lakeops_flights_src")
+    views.flights(spark, d).createOrReplaceTempView(f"{name}_src")
     spark.sql(
         f"CREATE TABLE {name} USING parquet PARTITIONED BY (dow) LOCATION '{path}' AS "
-        "SELECT /*+ REBALANCE(dow) */ month, origin, dow FROM lakeops_flights_src"
+        f"SELECT /*+ REBALANCE(dow) */ month, origin, dow FROM {name}_src"
     )
-    return spark.table(name).groupBy("dow").agg(F.count("*").alias("flights"), F.max("origin").alias("top_origin"))
+    counts = spark.table(name).groupBy("dow").agg(F.count("*").alias("flights"), F.max("origin").alias("top_origin"))
+    counts = write_parquet(counts, scratch.fresh(spark, "flights-counts"))
+    spark.sql(f"DROP TABLE {name}")
+    spark.catalog.dropTempView(f"{name}_src")
+    return counts
 
 
 # -- projection and filter -----------------------------------------------------

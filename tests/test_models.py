@@ -4,11 +4,11 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pytest
-from py4j.protocol import Py4JJavaError
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
-from lakeops.ml import regression, runs, scoring, tuning
+from lakeops.ml import attribution, regression, runs, scoring, tuning
 from lakeops.operators import sampling
 from lakeops.sources import views
 
@@ -99,32 +99,31 @@ def test_drift_steps_zero_one_more_column_each(spark, sf_dir):
     ]
 
 
-def test_components_are_fitted_again_when_the_decomposition_fails(spark, parts, monkeypatch):
-    class Cause:
-        def __str__(self):
-            return "breeze.linalg.NotConvergedException: "
-
-    class Failure(Py4JJavaError):
-        def __init__(self):
-            self.java_exception = Cause()
-
-        def __str__(self):
-            return "failed"
-
-    tries = []
-    fit = regression.Pipeline.fit
-
-    def flaky(self, data):
-        tries.append(data)
-        if len(tries) < 3:
-            raise Failure
-        return fit(self, data)
-
-    monkeypatch.setattr(regression.Pipeline, "fit", flaky)
-    with pytest.warns(UserWarning, match="did not converge"):
-        model = regression.fit_components(parts[0], FEATURES, 2)
-    assert len(tries) == 3 and model.stages[-1].pc.numCols == 2
-    tries.clear()
-    monkeypatch.setattr(regression, "ATTEMPTS", 1)
-    with pytest.raises(Py4JJavaError):
-        regression.fit_components(parts[0], FEATURES, 2)
+def test_components_equal_a_plain_decomposition(spark, sf_dir):
+    vectors = views.table(spark, sf_dir, "embeddings").select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("raw")
+    )
+    x = np.stack([r.raw.toArray() for r in vectors.collect()])
+    values, axes = np.linalg.eigh(np.cov(x.T))
+    for partitions in (2, 8):
+        model = regression.fit_components(vectors.repartition(partitions), "raw", 5)
+        assert np.allclose(model.stages[-1].explainedVariance.toArray(), values[::-1][:5] / values.sum())
+        found = model.stages[-1].pc.toArray()
+        assert np.allclose(np.abs((found * axes[:, ::-1][:, :5]).sum(axis=0)), 1)
+        assert (np.take_along_axis(found, np.abs(found).argmax(axis=0)[None], axis=0) > 0).all()
+
+
+def test_search_gives_all_runs(spark):
+    rows = [("e", f"r{i:05d}", {"m": float(i % 50)}) for i in range(1500)]
+    log = spark.createDataFrame(rows, "experiment_id string, run_id string, metrics map<string, double>")
+    assert runs.search(log, "e", "m").count() == 1500
+    assert runs.search(log, "e", "m", max_results=7).count() == 7
+
+
+def test_background_does_not_depend_on_partitions(spark, sf_dir):
+    price = views.price(spark, sf_dir)
+    found = [
+        sorted(tuple(round(v, 9) for v in r) for r in attribution.background(price.repartition(n), ["ext", "disc"]).drop("cluster").collect())
+        for n in (2, 9)
+    ]
+    assert found[0] == found[1]

@@ -76,15 +76,16 @@ def test_hot_target_key_is_not_shuffled(spark, sf_dir, monkeypatch, key):
         assert merged.count() == target.count() + min(nulls, 1)
 
 
-def test_wide_rows_for_hot_keys_are_not_broadcast(spark, sf_dir, monkeypatch):
+def test_wide_rows_for_hot_keys_are_salted(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(sizing, "BROADCAST_BYTES", 10)
     monkeypatch.setattr(skew, "HOT_ROWS", 500)
     target = views.table(spark, sf_dir, "lineitem").selectExpr("if(l_linenumber > 2, 0, l_orderkey) AS k", "'x' AS v")
     source = target.select("k").distinct().withColumn("v", F.lit("new"))
     with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         merged = dml.merge_upsert(target, source, ["k"])
-        assert "BroadcastHashJoin" not in plan(merged)
+        assert "_salt" in plan(merged)
         assert merged.where("v = 'new'").count() == target.count()
+        assert merged.count() == target.count()
 
 
 def test_hot_keys_from_a_sample(spark, sf_dir, monkeypatch):
