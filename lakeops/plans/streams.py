@@ -38,6 +38,42 @@ def stream_incremental(spark: SparkSession, d: str) -> DataFrame:
     return result.catch_up()
 
 
+def _part_sums(spark: SparkSession, table: VersionedTable, label: str) -> DataFrame:
+    sums = running_sum(table.stream(), "p_brand", "p_size", "sizes")
+    return refreshed(spark, sums, label, FEW_GROUPS).catch_up()
+
+
+def _parts(spark: SparkSession, d: str) -> DataFrame:
+    return views.table(spark, d, "part").select("p_brand", F.col("p_size").cast("bigint").alias("p_size"))
+
+
+def stream_after_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    """A stream over a table that was overwritten, then appended to."""
+    table = VersionedTable.create(spark, scratch.fresh(spark, "stream-overwritten"), _parts(spark, d))
+    table.overwrite(_parts(spark, d).where("p_size <= 20"))
+    table.append(_parts(spark, d).where("p_size > 45"))
+    return _part_sums(spark, table, "stream-after-overwrite")
+
+
+def stream_after_vacuum(spark: SparkSession, d: str) -> DataFrame:
+    """A stream over a table whose folders a vacuum rewrote, with a later append and removal."""
+    table = VersionedTable.create(spark, scratch.fresh(spark, "stream-vacuumed"), _parts(spark, d))
+    table.delete(F.col("p_size") < 10)
+    table.vacuum(0, force=True)
+    table.append(_parts(spark, d).where("p_size > 45"))
+    table.delete(F.col("p_size") == 30)
+    return _part_sums(spark, table, "stream-after-vacuum")
+
+
+def stream_after_optimize(spark: SparkSession, d: str) -> DataFrame:
+    """A stream over a table that was updated, optimized and vacuumed."""
+    table = VersionedTable.create(spark, scratch.fresh(spark, "stream-optimized"), _parts(spark, d))
+    table.update(F.col("p_size") < 10, {"p_size": F.col("p_size") + 100})
+    table.optimize()
+    table.vacuum(0, force=True)
+    return _part_sums(spark, table, "stream-after-optimize")
+
+
 def stream_rmse_by_batch(spark: SparkSession, d: str) -> DataFrame:
     """Error per scoring batch over a folder of predictions."""
     path = scratch.fresh(spark, "stream-pred")
@@ -49,12 +85,21 @@ def stream_rmse_by_batch(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "stream_after_overwrite": stream_after_overwrite,
+    "stream_after_vacuum": stream_after_vacuum,
+    "stream_after_optimize": stream_after_optimize,
     "stream_sum_by_key": stream_sum_by_key,
     "stream_incremental": stream_incremental,
     "stream_rmse_by_batch": stream_rmse_by_batch,
 }
 
 ORACLES = {
+    "stream_after_overwrite": "SELECT p_brand, CAST(sum(p_size) AS BIGINT) AS sizes FROM part "
+    "WHERE p_size <= 20 OR p_size > 45 GROUP BY p_brand",
+    "stream_after_vacuum": "SELECT p_brand, CAST(sum(CASE WHEN p_size > 45 THEN 2 ELSE 1 END * p_size) AS BIGINT) AS sizes "
+    "FROM part WHERE p_size >= 10 AND p_size <> 30 GROUP BY p_brand",
+    "stream_after_optimize": "SELECT p_brand, CAST(sum(CASE WHEN p_size < 10 THEN p_size + 100 ELSE p_size END) AS BIGINT) "
+    "AS sizes FROM part GROUP BY p_brand",
     "stream_sum_by_key": with_(
         texts.LOAN,
         select="SELECT addr_state, CAST(sum(loan_id) AS BIGINT) AS loans FROM (SELECT addr_state, loan_id FROM loan "

@@ -58,6 +58,9 @@ MAINTENANCE_SCHEMA = (
 )
 RESERVED = {"_row_id", "_old_version", "_old_row_id", "_version", "_gen", "_hits", "_new", "_match"}
 MIN_RETENTION_HOURS = 168
+# What replaced rows have as their old version when all rows were, and the row id that a
+# restore writes for streams. No real version or row is negative.
+WHOLE_TABLE = MARKER = -1
 
 
 class VersionNotAvailable(LookupError):
@@ -68,6 +71,10 @@ class CommitConflict(RuntimeError):
     """Another writer took the version number."""
 
 
+def _allowed(refused: Column, message: str) -> Column:
+    return F.when(refused, F.raise_error(F.lit(message)).cast("boolean")).otherwise(True)
+
+
 @dataclass
 class Commit:
     version: int
@@ -146,27 +153,47 @@ class VersionedTable:
     def read(self) -> DataFrame:
         return self.as_of()
 
-    def stream(self, on_change: str = "error", max_files: int | None = None) -> DataFrame:
-        """New rows as they are committed, without their past deletions.
-
-        A row that replaces an older one (update, upsert) is no addition:
-        ``on_change`` says whether it fails the stream, is skipped or is passed on.
-        The schema is the current one; a later column needs a restart.
+    def stream(
+        self, on_change: str = "error", max_files: int | None = None, from_version: int | None = None
+    ) -> DataFrame:
+        """The rows of a version, then new rows as later versions commit them.
+
+        It starts from the current version, whatever rewrites came before it. A later
+        process that goes on with the same checkpoint states that ``from_version`` again.
+        Later deletions are not followed. Rows that replace older ones (update, upsert,
+        overwrite) and a restore are no additions: ``on_change`` says whether they fail the
+        stream, are skipped or are passed on (a restore passes on nothing). A vacuum that
+        rewrites folders the stream reads fails it: what it has not seen may be gone.
+        The schema is that of the start; a later column needs a restart.
         """
-        schema = self._snapshot().schema
-        reader = self.spark.readStream.schema(T.StructType(schema.fields + ROW_COLUMNS))
+        if on_change not in ("error", "skip", "emit"):
+            raise ValueError(on_change)
+        state = self._snapshot(from_version)
+        gens = {v: g for v, g in state.gens.items() if v in state.versions}
+        if from_version is not None and any(g > 1 for g in gens.values()):
+            raise VersionNotAvailable(f"a vacuum rewrote rows of version {from_version}; start anew")
+        fields = T.StructType(state.schema.fields + ROW_COLUMNS + PLACE_COLUMNS)
+        reader = self.spark.readStream.schema(fields).option("basePath", f"{self.path}/rows")
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        rows = reader.parquet(f"{self.path}/rows/_version=*/_gen=0")
-        replaces = F.col("_old_version").isNotNull()
+        # Folders neither part of the start nor new are pruned by their names.
+        rows = reader.parquet(f"{self.path}/rows/_version=*/_gen=*")
+        version, gen, later = F.col("_version"), F.col("_gen"), F.col("_version") > state.version
+        started = F.lit(False)
+        for g in sorted(set(gens.values())):
+            started = started | ((gen == g) & version.isin([v for v, own in gens.items() if own == g]))
+        moved = (gen > 1) & ~started & (later | version.isin(sorted(gens)))
+        rows = rows.where(started | moved | (later & (gen == 0)))
+        rows = rows.where(_allowed(moved, "stream: a vacuum rewrote its rows; start it anew"))
+        replaces = later & F.col("_old_version").isNotNull()
         if on_change == "skip":
             rows = rows.where(~replaces)
         elif on_change == "error":
-            message = F.lit("stream: a row was rewritten; restart with on_change='skip' or 'emit'")
-            rows = rows.where(F.when(replaces, F.raise_error(message).cast("boolean")).otherwise(True))
-        elif on_change != "emit":
-            raise ValueError(on_change)
-        return rows.select(schema.names)
+            rows = rows.where(_allowed(replaces, "stream: rows were replaced; restart with on_change='skip' or 'emit'"))
+        rows = rows.where(F.col("_row_id") != MARKER)
+        if state.removals:
+            rows = rows.join(self._removed(state.removals), ["_version", "_row_id"], "left_anti")
+        return rows.select(state.schema.names)
 
     def diff(self, before: int, after: int) -> DataFrame:
         """Rows in one version and not in the other, with ``change`` added or removed.
@@ -247,7 +274,8 @@ class VersionedTable:
         """Replace the content. Starts a new line, so old rows are retired unread."""
         state = self._snapshot()
         schema = dml.evolved_schema(state.schema, df.schema, merge_schema)
-        return self._commit("OVERWRITE", state, schema, rows=dml.conform(df, schema), fresh=True)
+        rows = dml.conform(df, schema).withColumn("_old_version", F.lit(WHOLE_TABLE).cast("long"))
+        return self._commit("OVERWRITE", state, schema, rows=rows, fresh=True)
 
     def delete(self, predicate: Column) -> int:
         """Record the identities of matching rows; no row is rewritten.
@@ -300,8 +328,11 @@ class VersionedTable:
         return version
 
     def restore(self, version: int) -> int:
-        """Make an old version current again. Writes a history row and no data."""
+        """Make an old version current again. Writes a history row and no data, but for a
+        marker that only streams look at."""
         old, state = self._snapshot(version), self._snapshot()
+        marker = literal_rows(self.spark, [(MARKER, WHOLE_TABLE, None)], T.StructType(ROW_COLUMNS))
+        marker.write.mode("overwrite").parquet(f"{self.path}/rows/_version={state.version + 1}/_gen=0")
         return self._commit("RESTORE", old, old.schema, params={"to": str(version)}, number=state.version + 1)
 
     def optimize(self, cluster_by: Sequence[str] = (), target_bytes: int = 128 * 1024 * 1024) -> int:
@@ -392,6 +423,15 @@ class VersionedTable:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{relative}")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
+    def _move(self, source: str, target: str) -> None:
+        paths = self.spark._jvm.org.apache.hadoop.fs.Path
+        old, new = paths(source), paths(target)
+        fs = new.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.delete(new, True)
+        fs.mkdirs(new.getParent())
+        if not fs.rename(old, new):
+            raise OSError(f"cannot move {source} to {target}")
+
     def _write_row(self, path: str, row: tuple, schema: T.StructType) -> None:
         literal_rows(self.spark, [row], schema).write.mode("errorifexists").parquet(path)
 
@@ -511,6 +551,9 @@ class VersionedTable:
     ) -> int:
         """Write a version's folders, then its history row.
 
+        Rows wait in ``staging`` and are moved just before the history row, so that a
+        stream does not meet the rows of a write that failed.
+
         The removals of an update or upsert are read back from the rows written, so
         the two always agree.
         """
@@ -522,6 +565,7 @@ class VersionedTable:
         if self._exists(f"history/version={number}"):
             raise CommitConflict(f"version {number} of {self.path} already exists")
         rows_path = f"{self.path}/rows/_version={number}/_gen={gen}"
+        waiting = f"{self.path}/staging/rows_version={number}"
         removed_path = f"{self.path}/removed/_version={number}"
         live = 0 if state is None else state.live_rows
         added = gone = 0
@@ -531,8 +575,8 @@ class VersionedTable:
             for name in ("_old_version", "_old_row_id"):
                 if name not in rows.columns:
                     rows = rows.withColumn(name, F.lit(None).cast("long"))
-            rows.withColumn("_row_id", F.monotonically_increasing_id()).write.mode("overwrite").parquet(rows_path)
-            written = self.spark.read.schema(T.StructType(ROW_COLUMNS)).parquet(rows_path)
+            rows.withColumn("_row_id", F.monotonically_increasing_id()).write.mode("overwrite").parquet(waiting)
+            written = self.spark.read.schema(T.StructType(ROW_COLUMNS)).parquet(waiting)
             added, gone, touched = written.agg(
                 F.count(F.lit(1)), F.count("_old_version"), F.collect_set("_old_version")
             ).first()
@@ -556,6 +600,8 @@ class VersionedTable:
         root = fresh or (gone == live and gone > 0)
         if gone and not root and rows is not None:
             removed.write.mode("overwrite").parquet(removed_path)
+        if rows is not None:
+            self._move(waiting, rows_path)
         parent = None if root or state is None else state.version
         touched = [] if root else sorted(touched)
         text = schema.json()
