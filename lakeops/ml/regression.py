@@ -134,6 +134,7 @@ def fit_components(df: DataFrame, features: Sequence[str] | str, components: int
         jvm.org.apache.spark.ml.linalg.DenseMatrix(axes.shape[0], axes.shape[1], _doubles(df, axes.ravel(order="F")), False),
         jvm.org.apache.spark.ml.linalg.DenseVector(_doubles(df, shares)),
     )
+    java.set(java.k(), components)
     java.setInputCol(pca.getInputCol()).setOutputCol(pca.getOutputCol())
     model = PCAModel(java)
     model._transfer_params_from_java()
