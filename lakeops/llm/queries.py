@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import jaccard, langid, licenses, merkle, mixing, neardup, packing, quality, sharding, toxicity
+from lakeops.llm import (
+    centroids,
+    jaccard,
+    langid,
+    licenses,
+    merkle,
+    mixing,
+    neardup,
+    packing,
+    pagetext,
+    quality,
+    sharding,
+    toxicity,
+    trie,
+)
 from lakeops.llm.common import documents
 
 SHARDS = 40
@@ -90,6 +104,18 @@ def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op11_tree_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op12_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.build(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_bisector_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_cross_polytope": op1_cross_polytope,
     "op2_quality_discriminant": op2_quality_discriminant,
@@ -101,6 +127,9 @@ QUERIES = {
     "op8_ring_shards": op8_ring_shards,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_weak_toxicity": op10_weak_toxicity,
+    "op11_tree_marginals": op11_tree_marginals,
+    "op12_burst_trie": op12_burst_trie,
+    "op13_bisector_tournament": op13_bisector_tournament,
 }
 
 # Inverts the Poisson distribution at the same hashed number; 45 terms reach beyond 2**-52
@@ -146,4 +175,84 @@ SELECT doc_id, license, max(containment) AS containment,
 FROM (SELECT *, max(containment) OVER (PARTITION BY doc_id, license) AS top FROM s) GROUP BY doc_id, license
 """
 
-ORACLES = {"op7_license_bands": OP7_SQL, "op5_poisson_mix": OP5_SQL}
+# Every prefix of every rebuilt conversation as text, then plain grouping.
+OP12_SQL = f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, c - c % 100 AS b, count(*) AS n FROM t GROUP BY c),
+bits AS (SELECT c, CAST(c AS VARCHAR) AS s FROM h),
+{{crc}}
+taken AS (SELECT h.c, f.h, t.p AS d, t.r, t.x FROM h JOIN f ON h.c = f.c JOIN t ON t.c = h.b AND t.p <= f.h),
+k AS (SELECT f.c, f.h, count(taken.c) AS k FROM f LEFT JOIN taken ON taken.c = f.c GROUP BY f.c, f.h),
+whole AS (SELECT c, d, r, x FROM taken
+          UNION ALL SELECT t.c, CAST(t.p - k.h + k.k AS BIGINT), t.r, t.x FROM t JOIN k ON t.c = k.c WHERE t.p > k.h),
+steps AS (SELECT c, d, length(x) AS chars, md5(length(r)::VARCHAR || ':' || r || x) AS id FROM whole),
+pre AS (SELECT c, d, chars, string_agg(id, '') OVER (PARTITION BY c ORDER BY d) AS path FROM steps
+        UNION ALL SELECT c, 0, 0, '' FROM h),
+size AS (SELECT c, max(d) AS n FROM pre GROUP BY c),
+node AS (SELECT path, pre.d AS depth, min(pre.c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+           coalesce(string_agg(CAST(pre.c AS VARCHAR), ',' ORDER BY pre.c) FILTER (WHERE pre.d = n), '') AS ends
+         FROM pre JOIN size ON pre.c = size.c GROUP BY path, pre.d),
+up AS (SELECT node.*, left(path, 32 * (depth - 1)) AS above FROM node),
+kids AS (SELECT above AS path, count(*) AS n_children FROM up WHERE depth > 0 GROUP BY above),
+own AS (SELECT up.path, depth, conv_id, coalesce(n_children, 0) AS n_children, (n_convs - 1) * chars AS saved
+        FROM up LEFT JOIN kids ON kids.path = up.path),
+sub AS (SELECT left(path, 32 * d) AS path, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+        FROM (SELECT *, unnest(range(depth + 1)) AS d FROM own) GROUP BY 1)
+SELECT up.conv_id, CAST(up.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, up.n_convs, own.n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(up.ends) AS ends_sha256
+FROM up JOIN own ON own.path = up.path JOIN sub ON sub.path = up.path
+LEFT JOIN up p ON up.depth > 0 AND p.path = up.above
+"""
+# The checksum a byte at a time, eight shifts for each.
+_SHIFTS = "v"
+for _ in range(8):
+    _SHIFTS = f"list_transform({_SHIFTS}, lambda z: xor(z >> 1, (z & 1) * 3988292384))"
+OP12_SQL = OP12_SQL.format(
+    crc=f"""z AS (SELECT c, list_reduce(list_prepend(4294967295::UBIGINT,
+  list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))::UBIGINT)),
+  lambda v0, b: {_SHIFTS.replace("(v,", "([xor(v0, b)],")}[1]) AS v FROM bits),
+f AS (SELECT c, CAST(xor(v, 4294967295::UBIGINT) % 6 AS BIGINT) AS h FROM z),"""
+)
+
+_KEPT = """p0 AS (SELECT vec_id, row_number() OVER () AS r, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = 64),
+p AS MATERIALIZED (SELECT vec_id, r, unnest(range(64)) AS i,
+  CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS v FROM p0),
+c0 AS MATERIALIZED (SELECT k, i, v FROM p JOIN (SELECT r, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR))) - 1 AS k
+  FROM p0 QUALIFY k < 16) USING (r))"""
+
+
+def _assigned(number: int) -> str:
+    """Nearest of the centroids ``c<number>``, all distances computed."""
+    return f"""a{number} AS MATERIALIZED (SELECT r, arg_min(k, (dist, k)) AS k, min(dist) AS dist FROM
+  (SELECT p.r, c.k, sum((p.v - c.v) * (p.v - c.v)) AS dist FROM p JOIN c{number} c USING (i) GROUP BY p.r, c.k) GROUP BY r)"""
+
+
+def _moved(number: int) -> str:
+    return f"""c{number + 1} AS MATERIALIZED (SELECT c.k, c.i, coalesce(m.v, c.v) AS v FROM c{number} c LEFT JOIN
+  (SELECT k, i, CAST((s - (s % n + n) % n) // n AS BIGINT) AS v
+   FROM (SELECT k, i, sum(v) AS s, count(*) AS n FROM p JOIN a{number} USING (r) GROUP BY k, i)) m
+  ON c.k = m.k AND c.i = m.i)"""
+
+
+OP13_SQL = (
+    "WITH "
+    + ",\n".join([_KEPT, *[part for n in range(3) for part in (_assigned(n), _moved(n))], _assigned(3)])
+    + """,
+s AS (SELECT k, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS digest FROM c3 GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(dist AS BIGINT) AS distance,
+  CAST(sum(dist) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(dist) OVER () AS BIGINT) AS inertia,
+  digest AS centroid_sha256
+FROM a3 JOIN p0 USING (r) JOIN s USING (k)
+"""
+)
+
+ORACLES = {
+    "op5_poisson_mix": OP5_SQL,
+    "op7_license_bands": OP7_SQL,
+    "op12_burst_trie": OP12_SQL,
+    "op13_bisector_tournament": OP13_SQL,
+}
