@@ -6,8 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops import scratch
 
@@ -53,6 +56,51 @@ def slices(frame: pd.DataFrame, text: str, limit: int = SLICE_BYTES) -> Iterator
         yield frame.iloc[start:]
 
 
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of consecutive parts of an Arrow column, about ``limit`` bytes each."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > limit:
+            yield start, column.slice(start, i - start).to_pylist()
+            start, held = i, 0
+        held += size
+    if start < len(column):
+        yield start, column.slice(start).to_pylist()
+
+
+def rows_where(df: DataFrame, keep: Callable[[list[str | None]], np.ndarray], text_col: str) -> DataFrame:
+    """The rows whose text ``keep`` finds true, all columns, filtered as they pass.
+
+    Whole rows go through the Python worker as Arrow batches; the JVM holds none back.
+    """
+    place = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place).cast(pa.string())
+            found = [keep(part) for _, part in text_slices(texts)]
+            if found:
+                yield batch.filter(pa.array(np.concatenate(found).astype(bool)))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def packed(df: DataFrame, value: Callable[[list[str | None]], np.ndarray], text_col: str) -> DataFrame:
+    """``row`` (all columns as one struct, so that no name can clash) and a long from the text."""
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    place = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column("row")
+            found = [value(part) for _, part in text_slices(row.field(place).cast(pa.string()))]
+            if found:
+                yield pa.RecordBatch.from_arrays([row, pa.array(np.concatenate(found), pa.int64())], ["row", "value"])
+
+    return whole.mapInArrow(run, T.StructType([*whole.schema.fields, T.StructField("value", T.LongType())]))
+
+
 def per_text(function: Callable[[list[str | None]], np.ndarray], text: Column, kind: str = "double") -> Column:
     """A column computed from whole texts, a slice at a time; other columns stay in the JVM."""
 
