@@ -24,14 +24,15 @@ def stream_sum_by_key(spark: SparkSession, d: str) -> DataFrame:
     for _ in range(6):
         table.insert([("S7", 4500)])
     sums = running_sum(table.stream(max_files=4), "addr_state", "cnt", "loans")
-    return refreshed(spark, sums, "stream-sum", FEW_GROUPS).catch_up()
+    return refreshed(spark, sums, "stream-sum", FEW_GROUPS, [table.guard()]).catch_up()
 
 
 def stream_incremental(spark: SparkSession, d: str) -> DataFrame:
     """Appends between two runs that share a checkpoint: only new files are read."""
     events = views.table(spark, d, "events").select("event_type", (F.col("value") * 100).cast("bigint").alias("cents"))
     table = VersionedTable.create(spark, scratch.fresh(spark, "stream-events"), events)
-    result = refreshed(spark, running_sum(table.stream(), "event_type", "cents", "cents"), "stream-incremental", FEW_GROUPS)
+    sums = running_sum(table.stream(), "event_type", "cents", "cents")
+    result = refreshed(spark, sums, "stream-incremental", FEW_GROUPS, [table.guard()])
     result.catch_up()
     table.append(events.where("event_type = 'click'"))
     table.delete(F.col("event_type") == "view")
@@ -40,7 +41,7 @@ def stream_incremental(spark: SparkSession, d: str) -> DataFrame:
 
 def _part_sums(spark: SparkSession, table: VersionedTable, label: str) -> DataFrame:
     sums = running_sum(table.stream(), "p_brand", "p_size", "sizes")
-    return refreshed(spark, sums, label, FEW_GROUPS).catch_up()
+    return refreshed(spark, sums, label, FEW_GROUPS, [table.guard()]).catch_up()
 
 
 def _parts(spark: SparkSession, d: str) -> DataFrame:

@@ -7,7 +7,7 @@ a batch repeated after a failure replaces itself and nothing passes the driver.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +16,42 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeops import scratch
 
 
+def guarded(
+    write: Callable[[DataFrame, int], None], *guards: Callable[[], None]
+) -> Callable[[DataFrame, int], None]:
+    """A batch writer that first calls every guard; one that raises fails the stream.
+
+    They are called again after the write, so that a change committed meanwhile does not
+    wait for the next batch.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        for guard in guards:
+            guard()
+        write(batch, batch_id)
+        for guard in guards:
+            guard()
+
+    return run
+
+
 class RefreshedResult:
     """A streaming query and the place its latest complete result is found.
 
     ``state_partitions`` is the number of state stores when the session's shuffle
-    width is more than the groups need; it is fixed by the first start.
+    width is more than the groups need; it is fixed by the first start. ``guards`` are
+    called in every micro-batch before its result is written (``VersionedTable.guard``).
     """
 
-    def __init__(self, result: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None):
+    def __init__(
+        self,
+        result: DataFrame,
+        path: str,
+        checkpoint: str,
+        state_partitions: int | None = None,
+        guards: Sequence[Callable[[], None]] = (),
+    ):
+        self.guards = list(guards)
         self.result = result
         self.path = path.rstrip("/")
         self.checkpoint = checkpoint
@@ -37,7 +65,7 @@ class RefreshedResult:
             # Readers may still be on the previous batch; anything older can go.
             scratch.delete(batch.sparkSession, f"{path}/batch={batch_id - 2}")
 
-        return write
+        return guarded(write, *self.guards)
 
     def start(self, **trigger) -> StreamingQuery:
         """Start refreshing; by default continuously, else as ``trigger`` says."""
@@ -87,11 +115,15 @@ def sql_over_stream(stream: DataFrame, sql: str) -> DataFrame:
 
 
 def refreshed(
-    spark: SparkSession, result: DataFrame, label: str, state_partitions: int | None = None
+    spark: SparkSession,
+    result: DataFrame,
+    label: str,
+    state_partitions: int | None = None,
+    guards: Sequence[Callable[[], None]] = (),
 ) -> RefreshedResult:
     """A result refreshed into a folder of its own under the shared folder."""
     home = scratch.fresh(spark, label)
-    return RefreshedResult(result, f"{home}/out", f"{home}/checkpoint", state_partitions)
+    return RefreshedResult(result, f"{home}/out", f"{home}/checkpoint", state_partitions, guards)
 
 
 def running_sum(stream: DataFrame, by: str, value: str, name: str) -> DataFrame:

@@ -183,23 +183,22 @@ def exact_shares(f, row, points, shares, count):
     return out
 
 
-@pytest.mark.parametrize("exact", [13, 0])
-def test_shapley_against_brute_force(spark, monkeypatch, exact):
-    monkeypatch.setattr(attribution, "EXACT_FEATURES", exact)
+@pytest.mark.parametrize("method", ["exact", "sampled"])
+def test_shapley_against_brute_force(spark, method):
     names = ["p", "q", "r"]
     data = literal_rows(spark, [(1, 1.0, 2.0, 3.0), (2, -1.0, 0.5, 2.0)], "id long, p double, q double, r double")
     points = literal_rows(
         spark, [(1, 0.0, 0.0, 1.0), (3, 2.0, 1.0, 0.0)], "weight long, p double, q double, r double"
     )
     model = predictor(F.col("p") * F.col("q") + F.col("r") * F.col("r") - 2 * F.col("p") * F.col("r"))
-    got = attribution.shapley_values(data, ["id"], names, points, model, samples=400).collect()
+    got = attribution.shapley_values(data, ["id"], names, points, model, samples=400, method=method).collect()
     for row in data.collect():
         wanted = exact_shares(
             lambda p, q, r: p * q + r * r - 2 * p * r, row[1:], [(0, 0, 1), (2, 1, 0)], [0.25, 0.75], 3
         )
         mine = {g.feature: g.phi for g in got if g.id == row.id}
         assert sum(mine.values()) == pytest.approx(sum(wanted), abs=1e-9)
-        assert [mine[n] for n in names] == pytest.approx(wanted, abs=1e-9 if exact else 0.4)
+        assert [mine[n] for n in names] == pytest.approx(wanted, abs=1e-9 if method == "exact" else 0.4)
 
 
 def test_components_are_orthonormal_and_centred(spark, sf_dir):

@@ -5,7 +5,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from lakeops.sources import views
-from lakeops.streaming.aggregates import refreshed, running_sum, same_rows
+from lakeops.streaming.aggregates import guarded, refreshed, running_sum, same_rows
 from lakeops.tables.versioned import VersionedTable
 
 
@@ -37,7 +37,8 @@ def test_running_stream_sees_a_concurrent_writer(spark, sf_dir, path):
 
 
 def sums(spark, table, on_change="error"):
-    return refreshed(spark, running_sum(table.stream(on_change), "addr_state", "cnt", "loans"), "t")
+    result = running_sum(table.stream(on_change), "addr_state", "cnt", "loans")
+    return refreshed(spark, result, "t", guards=[table.guard(on_change)])
 
 
 def test_rewritten_rows(spark, sf_dir, path):
@@ -108,3 +109,39 @@ def test_failed_write_is_not_streamed(spark, path, monkeypatch):
     assert same_rows(stream.catch_up(), batch_sum(table.read()))
     table.insert([("x", 1)])
     assert same_rows(stream.catch_up(), batch_sum(table.read()))
+
+
+def test_filter_of_the_caller_hides_no_overwrite(spark, path):
+    table = rows_table(spark, path)
+    filtered = table.stream().where("addr_state = '3'")
+    result = running_sum(filtered, "addr_state", "cnt", "loans")
+    guarded = refreshed(spark, result, "t", guards=[table.guard()])
+    guarded.catch_up()
+    table.overwrite(spark.createDataFrame([("a", 0)], "addr_state string, cnt long"))
+    with pytest.raises(StreamingQueryException, match="OVERWRITE"):
+        guarded.catch_up()
+
+
+def test_writer_of_the_caller(spark, path):
+    """A batch writer of one's own, guarded: it passes on appends and stops at a restore."""
+    table = rows_table(spark, path)
+    seen = []
+
+    def run():
+        query = (
+            table.stream(from_version=0)
+            .where("cnt >= 90")
+            .writeStream.foreachBatch(guarded(lambda batch, _: seen.append(batch.count()), table.guard(from_version=0)))
+            .option("checkpointLocation", f"{path}-checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    run()
+    table.insert([("x", 95)])
+    run()
+    assert seen == [10, 1]
+    table.restore(0)
+    with pytest.raises(StreamingQueryException, match="RESTORE"):
+        run()
