@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +12,13 @@ from pyspark.sql import types as T
 from lakeops.sources.files import file_inventory
 
 TARGET_BYTES = 128 * 1024 * 1024
-RANK_BITS = 6
+# A long holds the curve; ranks have bits for the files and some for the rows inside one.
+CURVE_BITS = 62
+LEAST_BITS = 6
+EXTRA_BITS = 4
+MOST_BITS = 12
+SAMPLED_ROWS = 64
+TEXT_CHARS = 32
 
 
 def target_tasks(size_bytes: int, target_bytes: int = TARGET_BYTES) -> int:
@@ -24,36 +30,72 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return total.first()[0]
 
 
-def ranked(df: DataFrame, columns: Sequence[str], bits: int = RANK_BITS) -> tuple[DataFrame, list[str]]:
-    """Columns as ranks of ``bits`` bits, from approximate quantiles.
+def curve_bits(columns: int, tasks: int) -> int:
+    """Bits of each column's rank on a curve that is cut into ``tasks`` files.
 
-    The quantile sketch is merged across tasks; the driver sees 2^bits cut points.
+    The files need log2(tasks) bits together; some more order the rows inside a file.
+    """
+    needed = -(-max(tasks - 1, 0).bit_length() // columns)
+    if columns * max(needed, 1) > CURVE_BITS:
+        raise ValueError(f"{columns} columns over {tasks} files need more than {CURVE_BITS} bits; cluster by fewer")
+    return max(1, min(max(LEAST_BITS, needed + EXTRA_BITS), MOST_BITS, CURVE_BITS // columns))
+
+
+def _orderable(column: str, kind: T.DataType) -> Column:
+    """The value, or a number or short text that keeps its order."""
+    value = F.col(column)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return value.cast("double")
+    if isinstance(kind, (T.StringType, T.VarcharType, T.CharType)):
+        return F.substring(value, 1, TEXT_CHARS)
+    raise TypeError(f"cannot cluster by {column}: {kind.simpleString()} has no order")
+
+
+def _cut_points(values: list, bits: int) -> list:
+    """2^bits - 1 quantiles of the values; a frequent one is several of them, so that a rank
+    is the share of rows below and few distinct values still use all bits."""
+    known = sorted(v for v in values if v is not None and v == v)
+    return [known[len(known) * i >> bits] for i in range(1, 1 << bits)] if known else []
+
+
+def ranked(df: DataFrame, columns: Sequence[str], bits: int) -> tuple[DataFrame, list[str]]:
+    """Columns as ranks below 2^bits: the number of cut points not above the value.
+
+    Cut points are quantiles of a sample of ``SAMPLED_ROWS`` rows a cut point, all of it
+    the driver sees. The sample only steers the layout. Nulls rank lowest, with the least
+    values.
     """
     names = [f"_rank_{i}" for i in range(len(columns))]
-    numeric = df
-    for column, name in zip(columns, names):
-        kind, value = df.schema[column].dataType, F.col(column)
-        if isinstance(kind, T.DateType):
-            value = F.unix_date(value)
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            value = F.unix_micros(value.cast("timestamp"))
-        elif not isinstance(kind, T.NumericType):
-            raise TypeError(f"cannot rank {column}: clustering by several columns needs numbers or times")
-        numeric = numeric.withColumn(f"{name}_v", value.cast("double"))
-    steps = [i / 2**bits for i in range(1, 2**bits)]
-    cuts = numeric.approxQuantile([f"{n}_v" for n in names], steps, 0.25 / 2**bits)
-    splits = [[float("-inf"), *sorted(set(c)), float("inf")] for c in cuts]
-    out = Bucketizer(
-        splitsArray=splits,
-        inputCols=[f"{n}_v" for n in names],
-        outputCols=names,
-        handleInvalid="keep",
-    ).transform(numeric)
-    return out.drop(*[f"{n}_v" for n in names]), names
-
-
-def interleaved(ranks: Sequence[str], bits: int = RANK_BITS) -> Column:
+    values = [_orderable(c, df.schema[c].dataType) for c in columns]
+    keys = df.select(*[v.alias(n) for v, n in zip(values, names, strict=True)])
+    share = min(1.0, SAMPLED_ROWS * 2**bits / max(df.count(), 1))
+    sample = (keys if share == 1.0 else keys.sample(share, seed=17)).collect()
+    steps = F.array(*[F.lit(1 << b) for b in range(bits - 1, -1, -1)])
+    out = df
+    for name, value in zip(names, values, strict=True):
+        cuts = _cut_points([row[name] for row in sample], bits)
+        kind = "string" if cuts and isinstance(cuts[0], str) else "double"
+        # One literal, however many cut points.
+        table = F.from_json(F.lit(json.dumps([c if kind == "string" else repr(c) for c in cuts])), "array<string>")
+        table = table.cast(f"array<{kind}>")
+
+        out = out.withColumn(name, F.aggregate(steps, F.lit(0), _halving(table, value)))
+    return out, names
+
+
+def _halving(table: Column, value: Column) -> Callable[[Column, Column], Column]:
+    """Moves on by a width as long as the cut point there is not above the value."""
+    return lambda at, width: F.when(F.get(table, at + width - 1) <= value, at + width).otherwise(at)
+
+
+def interleaved(ranks: Sequence[str], bits: int) -> Column:
     """Bits of several ranks taken in turn: near rows get near numbers on all of them."""
+    if bits * len(ranks) > CURVE_BITS:
+        raise ValueError(f"{len(ranks)} ranks of {bits} bits do not fit a long")
     value = F.lit(0).cast("long")
     for bit in range(bits):
         for place, name in enumerate(ranks):
@@ -72,12 +114,14 @@ def clustered(
     """Rows range-partitioned into ``tasks`` even parts by partition, cluster value, row.
 
     The row identity at the end lets the ranges cut through a partition or cluster
-    value that holds a large share of all rows; no part depends on one value.
+    value that holds a large share of all rows; no part depends on one value. Several
+    cluster columns are laid along one curve inside each partition.
     """
     columns = df.columns
     if len(cluster_by) > 1:
-        df, ranks = ranked(df, cluster_by)
-        df = df.withColumn("_z", interleaved(ranks))
+        bits = curve_bits(len(cluster_by), tasks)
+        df, ranks = ranked(df, cluster_by, bits)
+        df = df.withColumn("_z", interleaved(ranks, bits))
         cluster = ["_z"]
     else:
         cluster = list(cluster_by)
@@ -109,7 +153,9 @@ def rewrite_folder(
     """
     rows = spark.read.schema(schema).parquet(source)
     identity = ["_file", "_row"]
-    keyed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # Eight bytes a row tell files apart; where two agree, rows of both share a range.
+    file = F.xxhash64(F.col("_metadata.file_path"))
+    keyed = rows.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     tasks = target_tasks(folder_bytes(spark, source), target_bytes)
     placed = clustered(keyed, partition_by, cluster_by, tasks, identity).drop(*identity)
     writer = placed.write.mode("overwrite")

@@ -292,6 +292,74 @@ def optimize_versioned(spark: SparkSession, d: str) -> DataFrame:
     return table.read()
 
 
+def orders_by_status(spark: SparkSession, d: str, label: str) -> VersionedTable:
+    """Orders with a folder for each status."""
+    rows = views.table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
+    )
+    return VersionedTable.create(spark, scratch.fresh(spark, label), rows, partition_by=["o_orderstatus"])
+
+
+def ctas_partitioned_versioned(spark: SparkSession, d: str) -> DataFrame:
+    """A partitioned table after a removal, an update that moves rows to other folders and an
+    upsert; each status read by its own filter, which names one folder."""
+    table = orders_by_status(spark, d, "orders-by-status")
+    table.delete(F.col("o_custkey") % 5 == 0)
+    table.update((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 0), {"o_orderstatus": "F"})
+    changes = table.read().where("o_orderkey % 3 = 0").withColumn("o_orderpriority", F.lit("0-NONE"))
+    new = changes.where("o_orderkey <> 0").withColumn("o_orderkey", -F.col("o_orderkey"))
+    table.merge(changes.unionByName(new), on=["o_orderkey"])
+    parts = None
+    for status in ("F", "O", "P"):
+        part = table.as_of().where(F.col("o_orderstatus") == status)
+        part = part.groupBy("o_orderstatus", "o_orderpriority").agg(
+            F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys")
+        )
+        parts = part if parts is None else parts.unionByName(part)
+    detail = table.detail().first()
+    return parts.select(
+        "*",
+        F.lit(detail.partition_columns).alias("partition_columns"),
+        F.lit(detail.num_partitions).alias("num_partitions"),
+    )
+
+
+def optimize_partitioned(spark: SparkSession, d: str) -> DataFrame:
+    """Files laid along a curve over a text and a number inside each folder: the rows a
+    filter on either has to read, before and after, and the rows it finds."""
+    table = orders_by_status(spark, d, "orders-laid")
+    cheap, urgent = F.col("o_totalprice") < 20_000, F.col("o_orderpriority") == "1-URGENT"
+    columns = ["o_orderpriority", "o_totalprice"]
+
+    def read(name: str) -> DataFrame:
+        files = table.file_ranges(columns)
+        return files.groupBy("o_orderstatus").agg(
+            F.sum("rows").alias("rows"),
+            F.sum(F.when(F.col("min_o_totalprice") < 20_000, F.col("rows")).otherwise(0)).alias(f"{name}_cheap"),
+            F.sum(
+                F.when(F.lit("1-URGENT").between(F.col("min_o_orderpriority"), F.col("max_o_orderpriority")), F.col("rows"))
+                .otherwise(0)
+            ).alias(f"{name}_urgent"),
+        )
+
+    before = literal_rows(spark, [tuple(r) for r in read("before").collect()], read("before").schema)  # one row a status
+    size = table.detail().first().size_bytes
+    table.optimize(cluster_by=columns, target_bytes=max(1, size // 64))
+    found = table.read().groupBy("o_orderstatus").agg(
+        F.count_if(cheap).alias("cheap"), F.count_if(urgent).alias("urgent")
+    )
+    both = before.join(read("after").drop("rows"), "o_orderstatus").join(found, "o_orderstatus")
+    return both.agg(
+        F.sum("rows").alias("rows"),
+        F.sum("cheap").alias("cheap"),
+        F.sum("urgent").alias("urgent"),
+        F.sum("before_cheap").alias("read_for_cheap_before"),
+        F.sum("before_urgent").alias("read_for_urgent_before"),
+        (F.sum("after_cheap") < F.sum("rows") / 2).alias("cheap_reads_under_half"),
+        (F.sum("after_urgent") < F.sum("rows") * 0.6).alias("urgent_reads_under_six_tenths"),
+    )
+
+
 def vacuum_retained(spark: SparkSession, d: str) -> DataFrame:
     """Vacuum to the current version; what it holds is unchanged."""
     table = VersionedTable.create(spark, scratch.fresh(spark, "customers"), customer_balances(spark, d))
@@ -331,6 +399,8 @@ QUERIES = {
     "cluster_by": cluster_by,
     "cluster_by_two": cluster_by_two,
     "optimize_versioned": optimize_versioned,
+    "ctas_partitioned_versioned": ctas_partitioned_versioned,
+    "optimize_partitioned": optimize_partitioned,
     "vacuum_retained": vacuum_retained,
 }
 
@@ -472,6 +542,19 @@ ORACLES = {
     "optimize_versioned": with_(
         _BALANCES, _CHANGES, select=f"SELECT * FROM balances WHERE c_custkey % 5 <> 0 UNION ALL {_NEW}"
     ),
+    "ctas_partitioned_versioned": with_(
+        "kept AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN 'F' "
+        "ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_custkey % 5 <> 0)",
+        "merged AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '0-NONE' ELSE o_orderpriority END "
+        "AS o_orderpriority, o_orderstatus FROM kept UNION ALL "
+        "SELECT -o_orderkey, '0-NONE', o_orderstatus FROM kept WHERE o_orderkey % 3 = 0 AND o_orderkey <> 0)",
+        select="SELECT o_orderstatus, o_orderpriority, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, "
+        "'o_orderstatus' AS partition_columns, (SELECT count(DISTINCT o_orderstatus) FROM orders) AS num_partitions "
+        "FROM merged GROUP BY o_orderstatus, o_orderpriority",
+    ),
+    "optimize_partitioned": "SELECT count(*) AS rows, count(*) FILTER (o_totalprice < 20000) AS cheap, "
+    "count(*) FILTER (o_orderpriority = '1-URGENT') AS urgent, count(*) AS read_for_cheap_before, "
+    "count(*) AS read_for_urgent_before, true AS cheap_reads_under_half, true AS urgent_reads_under_six_tenths FROM orders",
     "vacuum_retained": with_(
         _BALANCES,
         _CHANGES,

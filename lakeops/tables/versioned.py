@@ -9,6 +9,9 @@
                              is listed here, so a failed write stays invisible.
 ``maintenance/seq=K``        one row per vacuum.
 
+A table made with ``partition_by`` has a folder level for each of those columns below
+``_gen``; a filter on them lists and reads only the folders it names, removals or not.
+
 A version descends from ``parent``; it holds the rows of every version on its line of
 descent minus the rows removed on it. Overwrite and optimize start a new line (no
 parent); restore continues an old one, so it moves no data. One writer is assumed.
@@ -17,7 +20,7 @@ parent); restore continues an old one, so it moves no data. One writer is assume
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
@@ -47,6 +50,7 @@ HISTORY_SCHEMA = (
     .add("parent", LONG)
     .add("gen", T.IntegerType())
     .add("touched", LONGS)
+    .add("partition_by", T.ArrayType(T.StringType()))
 )
 MAINTENANCE_SCHEMA = (
     T.StructType()
@@ -56,6 +60,8 @@ MAINTENANCE_SCHEMA = (
     .add("rewritten", LONGS)
     .add("emptied", LONGS)
 )
+# Operations after which rows a stream has passed on are no longer the table's.
+REPLACING = ("UPDATE", "MERGE", "OVERWRITE", "RESTORE")
 RESERVED = {"_row_id", "_old_version", "_old_row_id", "_version", "_gen", "_hits", "_new", "_match"}
 MIN_RETENTION_HOURS = 168
 # What replaced rows have as their old version when all rows were, and the row id that a
@@ -71,10 +77,22 @@ class CommitConflict(RuntimeError):
     """Another writer took the version number."""
 
 
+class RowsReplaced(RuntimeError):
+    """Rows that a stream has passed on were replaced, or an old version was restored."""
+
+
 def _allowed(refused: Column, message: str) -> Column:
     return F.when(refused, F.raise_error(F.lit(message)).cast("boolean")).otherwise(True)
 
 
+def _folder_value(name: str, kind: T.DataType) -> Column:
+    """A partition value that is read back as it was written."""
+    if not isinstance(kind, (T.StringType, T.VarcharType, T.CharType)):
+        return F.col(name)
+    message = F.lit(f"partition column {name} holds an empty string, which a folder name cannot tell from null")
+    return F.when(F.col(name) == "", F.raise_error(message).cast("string")).otherwise(F.col(name))
+
+
 @dataclass
 class Commit:
     version: int
@@ -84,6 +102,7 @@ class Commit:
     rows_removed: int
     touched: list[int]
     schema: str
+    partition_by: list[str] = field(default_factory=list)
 
     @property
     def columns(self) -> T.StructType:
@@ -100,6 +119,10 @@ class Snapshot:
     gens: dict[int, int] = field(default_factory=dict)
     applied: set[int] = field(default_factory=set)
 
+    @property
+    def partition_by(self) -> list[str]:
+        return self.line[-1].partition_by
+
     @property
     def versions(self) -> set[int]:
         return {c.version for c in self.line}
@@ -165,6 +188,11 @@ class VersionedTable:
         stream, are skipped or are passed on (a restore passes on nothing). A vacuum that
         rewrites folders the stream reads fails it: what it has not seen may be gone.
         The schema is that of the start; a later column needs a restart.
+
+        A filter on the stream may be pushed to the files and hide replaced rows, and a
+        restore writes none: the rows alone cannot tell. The writer of the stream therefore
+        calls ``guard`` in every micro-batch (``streaming.aggregates`` does it for guards it
+        is given).
         """
         if on_change not in ("error", "skip", "emit"):
             raise ValueError(on_change)
@@ -195,6 +223,30 @@ class VersionedTable:
             rows = rows.join(self._removed(state.removals), ["_version", "_row_id"], "left_anti")
         return rows.select(state.schema.names)
 
+    def guard(self, on_change: str = "error", from_version: int | None = None) -> Callable[[], None]:
+        """A check for the batch writer of a stream with the same arguments.
+
+        It reads the history since the stream's start, one row a version, and raises
+        ``RowsReplaced`` after an update, upsert or overwrite that replaced rows, or a
+        restore. Only ``on_change="error"`` checks anything.
+        """
+        start = self._snapshot(from_version).version
+        path = self.path
+        replaced = (F.col("rows_removed") > 0) | F.col("operation").isin("OVERWRITE", "RESTORE")
+
+        def check() -> None:
+            if on_change != "error":
+                return
+            later = VersionedTable(self.spark, path).history().where(F.col("version") > start)
+            found = later.where(F.col("operation").isin(*REPLACING) & replaced).orderBy("version").first()
+            if found is not None:
+                raise RowsReplaced(
+                    f"version {found.version} of {path} ({found.operation}) replaced rows of a running stream; "
+                    "restart it, or pass on_change='skip' or 'emit'"
+                )
+
+        return check
+
     def diff(self, before: int, after: int) -> DataFrame:
         """Rows in one version and not in the other, with ``change`` added or removed.
 
@@ -231,7 +283,18 @@ class VersionedTable:
         if not paths:
             return self.spark.createDataFrame([], "path string, size_bytes long, _version int, _gen int")
         base = f"{self.path}/rows"
-        return file_inventory(self.spark, *[f"{base}/{p}" for p in paths], base=base)
+        found = file_inventory(self.spark, *[f"{base}/{p}" for p in paths], base=base)
+        kinds = [F.col(c).cast(state.schema[c].dataType).alias(c) for c in state.partition_by]
+        return found.select("path", "size_bytes", "_version", "_gen", *kinds)
+
+    def file_ranges(self, columns: Sequence[str]) -> DataFrame:
+        """One row per data file of the current version: its rows, the partition values, and
+        ``min_c`` and ``max_c`` of the columns, which decide whether a filter reads it."""
+        state = self._snapshot()
+        rows = self._read_rows(state.schema, self._row_paths(state, state.versions))
+        keys = [F.col("_metadata.file_path").alias("path"), *state.partition_by]
+        bounds = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *bounds)
 
     def detail(self) -> DataFrame:
         """Format, version, row count, file count and bytes of the current version.
@@ -247,16 +310,34 @@ class VersionedTable:
             F.lit(sum(c.rows_removed for c in state.removals)).cast("long").alias("pending_removals"),
             F.count(F.lit(1)).alias("num_files"),
             F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("long").alias("size_bytes"),
+            F.lit(",".join(state.partition_by)).alias("partition_columns"),
+            F.count_distinct(F.struct(*state.partition_by)).alias("num_partitions")
+            if state.partition_by
+            else F.lit(0).cast("long").alias("num_partitions"),
         )
 
     # -- writing -----------------------------------------------------------
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, df: DataFrame) -> VersionedTable:
-        """Version 0 from a query; also how a Parquet folder becomes a versioned table."""
+    def create(
+        cls, spark: SparkSession, path: str, df: DataFrame, partition_by: Sequence[str] = ()
+    ) -> VersionedTable:
+        """Version 0 from a query; also how a Parquet folder becomes a versioned table.
+
+        ``partition_by`` columns become folder levels of every later version too. As in any
+        partitioned Parquet folder an empty string cannot be told from null there, so
+        writing one is an error.
+        """
         table = cls(spark, path)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-        table._commit("CREATE", None, schema, rows=df, fresh=True)
+        by = list(partition_by)
+        unknown = set(by) - set(schema.names)
+        if unknown or len(set(by)) < len(by) or len(by) == len(schema):
+            raise dml.SchemaMismatch(f"cannot partition by {by}")
+        for name in by:
+            if isinstance(schema[name].dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
+                raise dml.SchemaMismatch(f"cannot partition by {name}: {schema[name].dataType.simpleString()}")
+        table._commit("CREATE", None, schema, rows=df, fresh=True, partition_by=by)
         return table
 
     def append(self, df: DataFrame, merge_schema: bool = False) -> int:
@@ -331,19 +412,29 @@ class VersionedTable:
         """Make an old version current again. Writes a history row and no data, but for a
         marker that only streams look at."""
         old, state = self._snapshot(version), self._snapshot()
+        number = state.version + 1
+        done = self._commit("RESTORE", old, old.schema, params={"to": str(version)}, number=number)
+        # The marker's file starts a micro-batch, whose guard then finds the history row.
         marker = literal_rows(self.spark, [(MARKER, WHOLE_TABLE, None)], T.StructType(ROW_COLUMNS))
-        marker.write.mode("overwrite").parquet(f"{self.path}/rows/_version={state.version + 1}/_gen=0")
-        return self._commit("RESTORE", old, old.schema, params={"to": str(version)}, number=state.version + 1)
+        marker.write.mode("overwrite").parquet(f"{self.path}/rows/_version={number}/_gen=0")
+        return done
 
     def optimize(self, cluster_by: Sequence[str] = (), target_bytes: int = 128 * 1024 * 1024) -> int:
-        """Same rows in few, optionally clustered, files with removals applied."""
+        """Same rows in few, optionally clustered, files with removals applied.
+
+        In a partitioned table files are laid out inside each partition; several cluster
+        columns of any ordered type are laid along one curve.
+        """
         state = self._snapshot()
+        within = set(cluster_by) & set(state.partition_by)
+        if within:
+            raise ValueError(f"{sorted(within)} are folders already; cluster by other columns")
         size = self.files().agg(F.coalesce(F.sum("size_bytes"), F.lit(0))).first()[0]
-        live = self._live(state)
-        laid = clustered(live, (), cluster_by, target_tasks(size, target_bytes), ["_version", "_row_id"])
+        tasks = target_tasks(size, target_bytes)
+        laid = clustered(self._live(state), state.partition_by, cluster_by, tasks, ["_version", "_row_id"])
         return self._commit(
             "OPTIMIZE", state, state.schema, rows=laid.select(state.schema.names), fresh=True, gen=1,
-            params={"cluster_by": ",".join(cluster_by)},
+            params={"cluster_by": ",".join(cluster_by)}, placed=True,
         )
 
     def vacuum(self, retain_hours: float = MIN_RETENTION_HOURS, force: bool = False) -> int:
@@ -409,11 +500,13 @@ class VersionedTable:
             schema = T.StructType.fromJson(json.loads(text))
             rows = self._read_rows(schema, [f"_version={v}/_gen={gens[v]}" for v in versions])
             kept = rows.join(self._removed(apply), ["_version", "_row_id"], "left_anti")
-            out = kept.withColumn("_gen", F.lit(gen)).select(rows.columns)
+            folders = ["_version", "_gen", *self._log[versions[0]].partition_by]
+            # One folder's rows meet in few tasks, large ones in several.
+            out = kept.withColumn("_gen", F.lit(gen)).select(rows.columns).hint("rebalance", *folders)
             (
                 out.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("_version", "_gen")
+                .partitionBy(*folders)
                 .parquet(f"{self.path}/rows")
             )
             left.update(v for v in versions if self._exists(f"rows/_version={v}/_gen={gen}"))
@@ -446,7 +539,7 @@ class VersionedTable:
         news = self.history().where(F.col("version") > known).orderBy("version").collect()
         for r in news:
             self._log[r.version] = Commit(
-                r.version, r.parent, r.gen, r.rows_added, r.rows_removed, list(r.touched), r.schema
+                r.version, r.parent, r.gen, r.rows_added, r.rows_removed, list(r.touched), r.schema, list(r.partition_by or [])
             )
         return self._log
 
@@ -548,9 +641,14 @@ class VersionedTable:
         fresh: bool = False,
         gen: int = 0,
         number: int | None = None,
+        partition_by: list[str] | None = None,
+        placed: bool = False,
     ) -> int:
         """Write a version's folders, then its history row.
 
+        Rows of a partitioned table are gathered by folder first, unless they are
+        ``placed`` already.
+
         Rows wait in ``staging`` and are moved just before the history row, so that a
         stream does not meet the rows of a write that failed.
 
@@ -560,6 +658,7 @@ class VersionedTable:
         clash = RESERVED & {n.lower() for n in schema.names}
         if clash:
             raise dml.SchemaMismatch(f"reserved column names: {sorted(clash)}")
+        by = state.partition_by if state is not None else list(partition_by or [])
         if number is None:
             number = 0 if state is None else state.version + 1
         if self._exists(f"history/version={number}"):
@@ -575,7 +674,12 @@ class VersionedTable:
             for name in ("_old_version", "_old_row_id"):
                 if name not in rows.columns:
                     rows = rows.withColumn(name, F.lit(None).cast("long"))
-            rows.withColumn("_row_id", F.monotonically_increasing_id()).write.mode("overwrite").parquet(waiting)
+            if by:
+                rows = rows.withColumns({c: _folder_value(c, schema[c].dataType) for c in by})
+                rows = rows if placed else rows.hint("rebalance", *by)
+            rows = rows.withColumn("_row_id", F.monotonically_increasing_id())
+            writer = rows.write.mode("overwrite")
+            (writer.partitionBy(*by) if by else writer).parquet(waiting)
             written = self.spark.read.schema(T.StructType(ROW_COLUMNS)).parquet(waiting)
             added, gone, touched = written.agg(
                 F.count(F.lit(1)), F.count("_old_version"), F.collect_set("_old_version")
@@ -605,7 +709,7 @@ class VersionedTable:
         parent = None if root or state is None else state.version
         touched = [] if root else sorted(touched)
         text = schema.json()
-        row = (datetime.now(timezone.utc), operation, list((params or {}).items()), text, added, gone, parent, gen, touched)
+        row = (datetime.now(timezone.utc), operation, list((params or {}).items()), text, added, gone, parent, gen, touched, by)
         self._write_row(f"{self.path}/history/version={number}", row, HISTORY_SCHEMA)
-        self._log[number] = Commit(number, parent, gen, added, gone, touched, text)
+        self._log[number] = Commit(number, parent, gen, added, gone, touched, text, by)
         return number
