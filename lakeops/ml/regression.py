@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ from lakeops.operators.sizing import spread
 from lakeops.operators.stats import metric_columns
 
 # The covariances of so many features, eight bytes each squared, reach the driver.
-MAX_FEATURES = 4096
+MAX_FEATURES = 1024
 
 
 def component_stages(features: Sequence[str] | str, components: int) -> list:
@@ -62,11 +62,8 @@ def boosted_trees(
     learning_rate: float = 0.1,
     n_estimators: int = 100,
     seed: int = 42,
-    validation_flag: str | None = None,
 ) -> GBTRegressor:
-    """Squared-error boosting. Rounds are cut loose from their lineage every tenth;
-    with a validation flag, training stops when held-out error no longer falls."""
-    held_out = {"validationIndicatorCol": validation_flag, "validationTol": 0.001} if validation_flag else {}
+    """Squared-error boosting. Rounds are cut loose from their lineage every tenth."""
     return GBTRegressor(
         labelCol=label,
         maxDepth=max_depth,
@@ -75,37 +72,88 @@ def boosted_trees(
         lossType="squared",
         seed=seed,
         checkpointInterval=10,
-        **held_out,
     )
 
 
-def covariance(df: DataFrame, vector_col: str) -> tuple[np.ndarray, int]:
-    """Sample covariance of a vector column and its row count, in one aggregation.
+@dataclass
+class Stopped:
+    """A boosted model cut after its best round, and the held-out error of every round."""
 
-    Every task adds up its rows; the sums are d x d numbers, d being the vector's length.
-    """
+    model: PipelineModel
+    errors: list[float]
+    best_round: int
+    stopped_after: int
+
+
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, int]:
+    """The round with the least error up to the one where training stops, and that one.
 
-    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
-        for batch in batches:
-            if len(batch):
-                x = np.stack(batch["x"].to_numpy())
-                x = np.concatenate([np.ones((len(x), 1)), x], axis=1)
-                total = x.T @ x if total is None else total + x.T @ x
-        if total is not None:
-            yield pd.DataFrame({"i": np.arange(total.size), "v": total.ravel()})
-
-    sums = df.select(vector_to_array(vector_col).alias("x")).mapInPandas(moments, "i int, v double")
-    rows = sums.groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").collect()
-    side = math.isqrt(len(rows))
-    if not side:
+    Rounds count from 1. Training stops once ``patience`` rounds brought no less error than
+    the least so far; of equal errors the earliest counts.
+    """
+    best = 0
+    for at, error in enumerate(errors):
+        if error < errors[best]:
+            best = at
+        if at - best >= patience:
+            return best + 1, at + 1
+    return best + 1, len(errors)
+
+
+def fit_with_patience(
+    df: DataFrame,
+    held_out: str,
+    features: Sequence[str] | str,
+    regressor: GBTRegressor,
+    components: int,
+    patience: int = 10,
+) -> Stopped:
+    """Fit on the rows where the flag ``held_out`` is false; keep the best round on the others.
+
+    The whole budget of rounds is trained, as Spark's boosting cannot go on from a model;
+    one pass over the held-out rows then measures the ensemble after every round, and the
+    rounds after the best are cut off, so scoring pays for that round only.
+    """
+    fitted = fit(df.where(~F.col(held_out)), features, regressor, components)
+    *before, boosted = fitted.stages
+    rows = PipelineModel(before).transform(df.where(held_out))
+    errors = list(boosted.evaluateEachIteration(rows, "squared"))
+    best, stopped = best_round(errors, patience)
+    return Stopped(PipelineModel([*before, _first_rounds(boosted, best)]), errors, best, stopped)
+
+
+def _first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The ensemble after so many rounds, with the model's columns."""
+    java = model._java_obj
+    gateway = SparkContext._active_spark_context._gateway
+    kind = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(kind.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], float(model.treeWeights[i])
+    cut = kind.GBTRegressionModel(model.uid, trees, weights)
+    for name in ("labelCol", "featuresCol", "predictionCol", "maxDepth", "stepSize", "seed", "lossType"):
+        cut.set(cut.getParam(name), java.getOrDefault(java.getParam(name)))
+    cut.set(cut.getParam("maxIter"), rounds)
+    found = GBTRegressionModel(cut)
+    found._transfer_params_from_java()
+    return found
+
+
+def covariance(df: DataFrame, vector_col: str) -> np.ndarray:
+    """Sample covariance of a vector column, d x d numbers for vectors of length d.
+
+    Deviations and correlations are summed up by the JVM's tree aggregates.
+    """
+    found = df.select(Summarizer.metrics("count", "std").summary(F.col(vector_col)).alias("s")).first()["s"]
+    if not found["count"]:
         raise ValueError("no rows to fit components on")
-    if side - 1 > MAX_FEATURES:
-        raise ValueError(f"{side - 1} features; components are fitted on {MAX_FEATURES} at most")
-    total = np.array([r["v"] for r in rows]).reshape(side, side)
-    count = int(total[0, 0])
-    mean = total[0, 1:] / count
-    return (total[1:, 1:] - count * np.outer(mean, mean)) / max(count - 1, 1), count
+    deviations = found["std"].toArray()
+    if len(deviations) > MAX_FEATURES:
+        raise ValueError(f"{len(deviations)} features; components are fitted on {MAX_FEATURES} at most")
+    together = Correlation.corr(df, vector_col).first()[0].toArray()
+    # A constant feature has no correlation, and no covariance.
+    return np.nan_to_num(together) * np.outer(deviations, deviations)
 
 
 def principal_axes(spread_of: np.ndarray, components: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,12 +170,12 @@ def principal_axes(spread_of: np.ndarray, components: int) -> tuple[np.ndarray,
 def fit_components(df: DataFrame, features: Sequence[str] | str, components: int) -> PipelineModel:
     """Fit the component stages: Spark's, but for the decomposition of the d x d matrix.
 
-    The vectors are centred before their products are summed, which keeps the sums exact
-    enough for features far from zero.
+    The vectors are centred first, which keeps the sums exact enough for features far from
+    zero.
     """
     *before, pca = component_stages(features, components)
     centred = Pipeline(stages=before).fit(df)
-    axes, shares = principal_axes(covariance(centred.transform(df), pca.getInputCol())[0], components)
+    axes, shares = principal_axes(covariance(centred.transform(df), pca.getInputCol()), components)
     jvm = df.sparkSession._jvm
     java = jvm.org.apache.spark.ml.feature.PCAModel(
         pca.uid,

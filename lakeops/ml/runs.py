@@ -44,6 +44,10 @@ class RunLog:
     spark: SparkSession
     path: str
 
+    def exists(self) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/runs")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def runs(self) -> DataFrame:
         reader = self.spark.read.schema(RUN_SCHEMA).option("recursiveFileLookup", "true")
         return reader.parquet(f"{self.path}/runs")

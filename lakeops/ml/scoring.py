@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import PCAModel, StandardScalerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
@@ -40,36 +39,54 @@ def drift_steps(df: DataFrame, columns: Sequence[str]) -> list[DataFrame]:
     return steps
 
 
-def _tree_arrays(model: GBTRegressionModel) -> list[tuple[np.ndarray, ...]]:
-    """Each tree as arrays by node: feature, threshold, left, right, value."""
-    trees = []
-    for tree in model._call_java("trees"):
-        nodes: list[list[float]] = []
+# A tree model with more leaves than this is scored by its own transform: the parser and
+# the code generator would work longer on the expression than most tables take.
+MAX_LEAVES = 50_000
 
-        def place(node) -> int:
-            at = len(nodes)
-            if node.subtreeDepth() == 0:
-                nodes.append([-1, 0.0, at, at, node.prediction()])
-                return at
-            split = node.split()
-            nodes.append([split.featureIndex(), split.threshold(), 0, 0, node.prediction()])
-            nodes[at][2] = place(node.leftChild())
-            nodes[at][3] = place(node.rightChild())
-            return at
 
-        place(tree.rootNode())
-        table = np.array(nodes)
-        trees.append(
-            (table[:, 0].astype(int), table[:, 1], table[:, 2].astype(int), table[:, 3].astype(int), table[:, 4])
-        )
-    return trees
+def _number(value: float) -> str:
+    """A double literal that reads back as the same number."""
+    if not math.isfinite(value):
+        raise ValueError(f"no SQL literal for {value}")
+    return f"{float(value)!r}D" if "e" in repr(float(value)) else f"{float(value)!r}E0"
+
+
+def _sum(constant: float, factors: Sequence[float], names: Sequence[str]) -> str:
+    """``constant + factor * name + ...`` without the terms that are nothing."""
+    terms = [f"{_number(f)} * `{n}`" for f, n in zip(factors, names, strict=True) if f]
+    return " + ".join([_number(constant), *terms])
+
+
+def _case(node, names: Sequence[str]) -> str:
+    """A fitted tree as nested CASE: a split goes left up to its threshold."""
+    if node.subtreeDepth() == 0:
+        return _number(node.prediction())
+    split = node.split()
+    test = f"`{names[split.featureIndex()]}` <= {_number(split.threshold())}"
+    return f"CASE WHEN {test} THEN {_case(node.leftChild(), names)} ELSE {_case(node.rightChild(), names)} END"
+
+
+def _leaves(model: GBTRegressionModel) -> int:
+    return (model.totalNumNodes + len(model.treeWeights)) // 2
+
+
+def _create(spark: SparkSession, name: str, inputs: Sequence[str], body: str) -> None:
+    """A temporary SQL function of doubles; null when an input is."""
+    declared = ", ".join(f"`{i}` DOUBLE" for i in inputs)
+    missing = " OR ".join(f"`{i}` IS NULL" for i in inputs)
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION `{name}`({declared}) RETURNS DOUBLE "
+        f"RETURN CASE WHEN {missing} THEN NULL ELSE {body} END"
+    )
 
 
 def register_model(spark: SparkSession, name: str, model: PipelineModel) -> list[str]:
-    """Make a trained model callable from SQL as ``name(feature, ...)``.
+    """Make a trained model callable from SQL as ``name(feature, ...)``; returns the feature order.
 
-    Returns the feature order. The model's numbers are broadcast once; batches reach
-    it through Arrow. In DataFrame code ``model.transform`` avoids Python altogether.
+    The model is compiled to one SQL expression, so scoring stays in generated code and
+    Catalyst sees which columns it reads. Centring and axes fold into a linear model's
+    coefficients. Trees become nested CASE over the components, which are the arguments of a
+    second function, ``name_trees``, so that each is computed once a row.
     """
     assembler, scaler, pca, regressor = model.stages
     if not (
@@ -78,47 +95,28 @@ def register_model(spark: SparkSession, name: str, model: PipelineModel) -> list
         and isinstance(pca, PCAModel)
     ):
         raise TypeError("expected a model trained by lakeops.ml.regression")
-    parts = {"mean": scaler.mean.toArray(), "axes": pca.pc.toArray()}
+    inputs = assembler.getInputCols()
+    mean, axes = scaler.mean.toArray(), pca.pc.toArray()
     if isinstance(regressor, LinearRegressionModel):
-        parts["line"] = (regressor.coefficients.toArray(), regressor.intercept)
-    elif isinstance(regressor, GBTRegressionModel):
-        parts["trees"] = (_tree_arrays(regressor), list(regressor.treeWeights))
-    else:
+        factors = axes @ regressor.coefficients.toArray()
+        _create(spark, name, inputs, _sum(regressor.intercept - mean @ factors, factors, inputs))
+        return inputs
+    if not isinstance(regressor, GBTRegressionModel):
         raise TypeError(f"no SQL form for {type(regressor).__name__}")
-    shared = spark.sparkContext.broadcast(parts)
-
-    # Kept inside, so workers need not have this package installed.
-    def run_trees(points: np.ndarray, trees: list, weights: Sequence[float]) -> np.ndarray:
-        total = np.zeros(len(points))
-        rows = np.arange(len(points))
-        for (feature, threshold, left, right, value), weight in zip(trees, weights):
-            at = np.zeros(len(points), dtype=int)
-            while (feature[at] >= 0).any():
-                go_left = points[rows, np.maximum(feature[at], 0)] <= threshold[at]
-                at = np.where(feature[at] < 0, at, np.where(go_left, left[at], right[at]))
-            total += weight * value[at]
-        return total
-
-    @F.pandas_udf("double")
-    def predict(*columns: pd.Series) -> pd.Series:
-        held = shared.value
-        points = (np.column_stack([c.to_numpy(dtype=float) for c in columns]) - held["mean"]) @ held["axes"]
-        if "line" in held:
-            weights, intercept = held["line"]
-            return pd.Series(points @ weights + intercept)
-        return pd.Series(run_trees(points, *held["trees"]))
-
-    spark.udf.register(name, predict)
-    return assembler.getInputCols()
+    if _leaves(regressor) > MAX_LEAVES:
+        raise ValueError(f"{_leaves(regressor)} leaves; a SQL function has {MAX_LEAVES} at most: use model.transform")
+    names = [f"component_{k}" for k in range(axes.shape[1])]
+    trees = [
+        f"{_number(weight)} * {_case(tree.rootNode(), names)}"
+        for tree, weight in zip(regressor._call_java("trees"), regressor.treeWeights, strict=True)
+    ]
+    _create(spark, f"{name}_trees", names, "(" + " + ".join(trees) + ")")
+    components = [_sum(-(mean @ axes[:, k]), axes[:, k], inputs) for k in range(axes.shape[1])]
+    _create(spark, name, inputs, f"`{name}_trees`({', '.join(components)})")
+    return inputs
 
 
 def register_linear(spark: SparkSession, name: str, weights: dict[str, float], intercept: float) -> list[str]:
     """A linear scorer as a SQL function."""
-    held = np.array(list(weights.values()))
-
-    @F.pandas_udf("double")
-    def predict(*columns: pd.Series) -> pd.Series:
-        return pd.Series(np.column_stack([c.to_numpy(dtype=float) for c in columns]) @ held + intercept)
-
-    spark.udf.register(name, predict)
+    _create(spark, name, list(weights), _sum(intercept, list(weights.values()), list(weights)))
     return list(weights)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -17,7 +18,11 @@ from lakeops.ml.runs import RunLog
 from lakeops.operators.sizing import spread
 from lakeops.sources.files import literal_rows
 
-TRIAL_SCHEMA = "trial long, n_components long, max_depth long, learning_rate double, n_estimators long, loss double"
+METRICS = [f"{part}_{name}" for part in ("train", "test") for name in ("mse", "mae", "rmse", "r2")]
+TRIAL_SCHEMA = (
+    "trial long, n_components long, max_depth long, learning_rate double, n_estimators long, loss double, "
+    + ", ".join(f"{name} double" for name in METRICS)
+)
 
 
 @dataclass(frozen=True)
@@ -29,23 +34,36 @@ class Space:
     learning_rate: Sequence[float] = tuple(round(0.01 * i, 2) for i in range(1, 15))
     n_estimators: Sequence[int] = range(500, 2000)
 
+    def size(self) -> int:
+        return math.prod(len(getattr(self, name)) for name in Space.__dataclass_fields__)
+
+    def at(self, place: int) -> dict:
+        """The settings at a place in the product of all choices."""
+        settings = {}
+        for name in Space.__dataclass_fields__:
+            choices = getattr(self, name)
+            place, own = divmod(place, len(choices))
+            settings[name] = choices[own]
+        return settings
+
     def draws(self, count: int, seed: int) -> list[dict]:
-        """Distinct settings while the space has enough of them."""
-        chooser = random.Random(seed)
-        seen: list[dict] = []
-        misses = 0
-        while len(seen) < count:
-            draw = {
-                "n_components": chooser.choice(self.n_components),
-                "max_depth": chooser.choice(self.max_depth),
-                "learning_rate": chooser.choice(self.learning_rate),
-                "n_estimators": chooser.choice(self.n_estimators),
-            }
-            if draw in seen and misses < 100:
-                misses += 1
-                continue
-            seen.append(draw)
-        return seen
+        """Different settings, drawn without replacement; all of them where there are fewer."""
+        places = random.Random(seed).sample(range(self.size()), min(count, self.size()))
+        return [self.at(place) for place in places]
+
+
+def _recorded(log: RunLog | None, experiment_id: str, parent_run_id: str | None, draws: list[dict]) -> dict[int, dict]:
+    """Metrics of trials whose records are already there, by number."""
+    if log is None or parent_run_id is None or not log.exists():
+        return {}
+    mine = log.runs().where((F.col("experiment_id") == experiment_id) & (F.col("parent_run_id") == parent_run_id))
+    found = {}
+    # As many rows as trials.
+    for row in mine.where(F.col("tags")["trial"].isNotNull()).select("params", "metrics", "tags").collect():
+        number = int(row["tags"]["trial"])
+        if number < len(draws) and row["params"] == {k: str(v) for k, v in draws[number].items()}:
+            found[number] = row["metrics"]
+    return found
 
 
 def search(
@@ -61,34 +79,41 @@ def search(
     experiment_id: str = "",
     parent_run_id: str | None = None,
 ) -> DataFrame:
-    """One row per trial with its settings and held-out error.
+    """One row per trial with its settings, its loss (held-out rmse) and all errors of both parts.
 
     Every trial is a distributed fit over the same two persisted parts; threads only
     keep several of them submitted. The trials table has ``max_evals`` rows. With a
-    ``log`` every trial is also recorded, under ``parent_run_id``.
+    ``log`` every trial is recorded under ``parent_run_id`` when it ends. A search started
+    again under the same parent, space and seed takes recorded trials from there and runs
+    only the others, so it goes on where a failure ended it.
     """
+    draws = space.draws(max_evals, seed)
+    results = _recorded(log, experiment_id, parent_run_id, draws)
+    missing = [i for i in range(len(draws)) if i not in results]
     columns = [*features, label]
     parts = [spread(p.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK) for p in (train_df, test_df)]
-    evaluator = regression.rmse_evaluator(label)
 
-    def trial(draw: dict) -> float:
+    def trial(number: int) -> dict[str, float]:
+        draw = draws[number]
         settings = {k: draw[k] for k in ("max_depth", "learning_rate", "n_estimators")}
         regressor = regression.boosted_trees(label, **settings, seed=seed)
         model = regression.fit(parts[0], features, regressor, draw["n_components"])
-        loss = evaluator.evaluate(model.transform(parts[1]))
+        metrics = regression.evaluate(model, *parts, label)
         if log is not None:
-            tags = {"features": ",".join(features)}
-            log.record(experiment_id, draw, {"test_rmse": loss}, tags, model, parent_run_id=parent_run_id)
-        return loss
+            tags = {"features": ",".join(features), "trial": str(number)}
+            log.record(experiment_id, draw, metrics, tags, model, parent_run_id=parent_run_id)
+        return metrics
 
-    draws = space.draws(max_evals, seed)
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            losses = list(pool.map(inheritable_thread_target(train_df.sparkSession)(trial), draws))
+            run = inheritable_thread_target(train_df.sparkSession)(trial)
+            results.update(zip(missing, pool.map(run, missing), strict=True))
     finally:
         for part in parts:
             part.unpersist()
-    rows = [(i, *[draw[k] for k in Space.__dataclass_fields__], loss) for i, (draw, loss) in enumerate(zip(draws, losses))]
+    rows = [
+        (i, *draw.values(), results[i]["test_rmse"], *[results[i][m] for m in METRICS]) for i, draw in enumerate(draws)
+    ]
     return literal_rows(train_df.sparkSession, rows, TRIAL_SCHEMA)
 
 

@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
@@ -29,7 +30,10 @@ def test_draws_are_seeded_distinct_and_in_range():
     for d in draws:
         assert 4 <= d["n_components"] <= 11 and 3 <= d["max_depth"] <= 7
         assert 0.01 <= d["learning_rate"] <= 0.14 and 500 <= d["n_estimators"] < 2000
-    assert len(tuning.Space((2,), (3,), (0.1,), (5, 6)).draws(4, 0)) == 4
+    small = tuning.Space((2,), (3,), (0.1,), (5, 6)).draws(4, 0)
+    assert sorted(d["n_estimators"] for d in small) == [5, 6]
+    every = tuning.Space((2, 3), (3, 4, 5), (0.1,), (5, 6))
+    assert len({tuple(d.values()) for d in every.draws(99, 3)}) == every.size() == 12
 
 
 def test_trials_are_recorded_under_their_parent(spark, parts, path):
@@ -70,11 +74,87 @@ def test_metrics_against_numpy(spark, parts):
     assert metrics["test_r2"] == pytest.approx(1 - (error**2).sum() / ((rows[:, 0] - rows[:, 0].mean()) ** 2).sum())
 
 
-def test_early_stopping_keeps_fewer_rounds(parts):
-    flagged = parts[0].withColumn("held", F.col("l_linenumber") == 1).withColumn("price", F.rand(3))
-    trees = regression.boosted_trees("price", n_estimators=8, validation_flag="held")
-    model = regression.train(flagged, FEATURES, trees, 2)
-    assert len(model.stages[-1].trees) < 8
+@pytest.mark.parametrize(
+    "errors, patience, wanted",
+    [
+        ([5.0, 4.0, 3.0, 2.0], 2, (4, 4)),
+        ([5.0, 3.0, 4.0, 4.0, 1.0], 2, (2, 4)),
+        ([5.0, 3.0, 4.0, 4.0, 1.0], 3, (5, 5)),
+        ([2.0, 2.0, 2.0, 2.0], 3, (1, 4)),
+        ([1.0], 1, (1, 1)),
+        ([3.0, 2.0, 2.5, 1.5, 1.6, 1.7], 2, (4, 6)),
+    ],
+)
+def test_best_round(errors, patience, wanted):
+    assert regression.best_round(errors, patience) == wanted
+
+
+def test_patience_keeps_the_best_round(parts):
+    """On labels that are half noise the held-out error rises again; the cut model is the
+    ensemble of the best round, and its error is the one recorded for it."""
+    noise = F.pmod(F.xxhash64(*views.PRICE_KEYS, "qty"), F.lit(1000)) / 10
+    flagged = parts[0].withColumn("held", F.col("l_linenumber") == 1).withColumn("price", F.col("price") / 4 + noise)
+    trees = regression.boosted_trees("price", max_depth=5, learning_rate=0.8, n_estimators=15)
+    stopped = regression.fit_with_patience(flagged, "held", FEATURES, trees, 2, patience=3)
+    assert len(stopped.errors) == 15 and stopped.stopped_after < 15
+    assert stopped.best_round == 1 + int(np.argmin(stopped.errors[: stopped.stopped_after]))
+    cut = stopped.model.stages[-1]
+    assert len(cut.trees) == stopped.best_round and list(cut.treeWeights) == [1.0] + [0.8] * (stopped.best_round - 1)
+    held = stopped.model.transform(flagged.where("held"))
+    error = held.agg(F.avg(F.pow(F.col("price") - F.col("prediction"), 2))).first()[0]
+    assert error == pytest.approx(stopped.errors[stopped.best_round - 1])
+
+
+def test_cut_model_is_saved_and_loaded(spark, parts, path):
+    flagged = parts[0].withColumn("held", F.col("l_linenumber") == 1)
+    trees = regression.boosted_trees("price", n_estimators=4)
+    model = regression.fit_with_patience(flagged, "held", FEATURES, trees, 2, patience=2).model
+    model.write().save(path)
+    again = PipelineModel.load(path)
+    before, after = ([r[0] for r in m.transform(parts[1]).select("prediction").collect()] for m in (model, again))
+    assert before == after
+
+
+def test_search_goes_on_from_its_records(spark, parts, path):
+    space = tuning.Space((2, 3), (2,), (0.2, 0.3), (2, 3))
+    whole = tuning.search(*parts, FEATURES, "price", space, 4)
+    log = runs.RunLog(spark, path)
+    tuning.search(*parts, FEATURES, "price", space, 2, log=log, experiment_id="e", parent_run_id="p")
+    first = {r.run_id for r in log.runs().collect()}
+    again = tuning.search(*parts, FEATURES, "price", space, 4, log=log, experiment_id="e", parent_run_id="p")
+    assert log.runs().count() == 4 and first < {r.run_id for r in log.runs().collect()}
+    for mine, wanted in zip(again.orderBy("trial").collect(), whole.orderBy("trial").collect(), strict=True):
+        assert list(mine[:5]) == list(wanted[:5])
+        assert list(mine[5:]) == pytest.approx(list(wanted[5:]))
+    assert set(tuning.METRICS) < set(again.columns)
+
+
+def test_compiled_models_equal_their_transform(spark, parts):
+    """Scoring functions are plain expressions: no Python in the plan, null for a null input."""
+    train, test = parts
+    for name, regressor in (
+        ("line_model", regression.elastic_net(train, "price", 0.05, 0.1)),
+        ("tree_model", regression.boosted_trees("price", max_depth=4, n_estimators=12)),
+    ):
+        model = regression.train(train, FEATURES, regressor, 3)
+        inputs = scoring.register_model(spark, name, model)
+        assert inputs == FEATURES
+        model.transform(test).createOrReplaceTempView("scored_rows")
+        out = spark.sql(f"SELECT prediction, {name}({', '.join(inputs)}) AS again FROM scored_rows")
+        assert out.where("abs(prediction - again) > 1e-9 OR again IS NULL").isEmpty()
+        again = spark.sql(f"SELECT {name}({', '.join(inputs)}) AS again FROM scored_rows")
+        plan = spark.sql(f"SELECT {name}(1.0, NULL, 0.1, 3.0) AS p")
+        for df in (again, plan):
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "Python" not in text and "Arrow" not in text
+        assert plan.first().p is None
+
+
+def test_large_tree_models_are_refused(spark, parts, monkeypatch):
+    model = regression.train(parts[0], FEATURES, regression.boosted_trees("price", n_estimators=3), 2)
+    monkeypatch.setattr(scoring, "MAX_LEAVES", 10)
+    with pytest.raises(ValueError, match="leaves"):
+        scoring.register_model(spark, "too_large", model)
 
 
 def test_one_timestamp_per_batch(spark, parts):
