@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lakeops import scratch
 
@@ -56,17 +57,45 @@ def slices(frame: pd.DataFrame, text: str, limit: int = SLICE_BYTES) -> Iterator
         yield frame.iloc[start:]
 
 
-def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[str | None]]]:
-    """(first row, texts) of consecutive parts of an Arrow column, about ``limit`` bytes each."""
+def spans(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of consecutive parts of an Arrow text column, about ``limit`` bytes each."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
         if held and held + size > limit:
-            yield start, column.slice(start, i - start).to_pylist()
+            yield start, i - start
             start, held = i, 0
         held += size
     if start < len(column):
-        yield start, column.slice(start).to_pylist()
+        yield start, len(column) - start
+
+
+def relieved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what one of them needed goes back to the system before the next."""
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+
+
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of the ``spans`` of a column."""
+    for first, rows in spans(column, limit):
+        yield first, column.slice(first, rows).to_pylist()
+
+
+def map_slices(
+    df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str, text: str = "text"
+) -> DataFrame:
+    """``function`` applied to frames of about ``SLICE_BYTES`` of text; never to a whole batch."""
+    kinds = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in relieved(batches):
+            for first, rows in spans(batch.column(text)):
+                frame = function(batch.slice(first, rows).to_pandas())
+                yield pa.RecordBatch.from_pandas(frame, schema=kinds, preserve_index=False)
+
+    return df.mapInArrow(run, schema)
 
 
 def rows_where(df: DataFrame, keep: Callable[[list[str | None]], np.ndarray], text_col: str) -> DataFrame:
@@ -77,11 +106,9 @@ def rows_where(df: DataFrame, keep: Callable[[list[str | None]], np.ndarray], te
     place = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(place).cast(pa.string())
-            found = [keep(part) for _, part in text_slices(texts)]
-            if found:
-                yield batch.filter(pa.array(np.concatenate(found).astype(bool)))
+        for batch in relieved(batches):
+            for first, texts in text_slices(batch.column(place).cast(pa.string())):
+                yield batch.slice(first, len(texts)).filter(pa.array(keep(texts).astype(bool)))
 
     return df.mapInArrow(run, df.schema)
 
@@ -92,11 +119,11 @@ def packed(df: DataFrame, value: Callable[[list[str | None]], np.ndarray], text_
     place = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in relieved(batches):
             row = batch.column("row")
-            found = [value(part) for _, part in text_slices(row.field(place).cast(pa.string()))]
-            if found:
-                yield pa.RecordBatch.from_arrays([row, pa.array(np.concatenate(found), pa.int64())], ["row", "value"])
+            for first, texts in text_slices(row.field(place).cast(pa.string())):
+                numbers = pa.array(value(texts), pa.int64())
+                yield pa.RecordBatch.from_arrays([row.slice(first, len(texts)), numbers], ["row", "value"])
 
     return whole.mapInArrow(run, T.StructType([*whole.schema.fields, T.StructField("value", T.LongType())]))
 

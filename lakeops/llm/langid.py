@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import held_out, slices
+from lakeops.llm.common import held_out, map_slices, slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -26,7 +26,7 @@ FILTERS = 16
 EMBEDDING = 8
 ROWS_PER_LANGUAGE = 400
 WINDOWS_PER_ROW = 4
-LANGUAGES = 200
+MOST_LANGUAGES = 1000
 EPOCHS = 10
 BATCH = 64
 CHUNK = 256
@@ -148,19 +148,23 @@ def train(cells: np.ndarray, wanted: np.ndarray, languages: list[str], seed: int
     return network
 
 
-def sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> pd.DataFrame:
-    """lang, text of about ``per_language`` rows for each of the most frequent languages.
+def sample(
+    df: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, most_languages: int = MOST_LANGUAGES
+) -> pd.DataFrame:
+    """lang, cell of about ``per_language`` rows for each language.
 
     Each language keeps the rows whose hash falls below its share, so one pass finds them.
     Of every chosen text up to ``WINDOWS_PER_ROW`` evenly spread windows reach the driver.
     """
     key = F.col(id_col).cast("long")
     usable = df.where(key.isNotNull() & ~held_out(key) & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    counts = usable.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES)
-    shares = [(r["lang"], min(1.0, per_language / r["count"])) for r in counts.collect()]
+    counts = usable.groupBy(F.col(lang_col).alias("lang")).count()
+    shares = [(r["lang"], min(1.0, per_language / r["count"])) for r in counts.limit(most_languages + 1).collect()]
+    if len(shares) > most_languages:
+        raise ValueError(f"more than {most_languages} languages; pass most_languages to learn them all")
     if not shares:
         return pd.DataFrame({"lang": [], "cell": []})
-    # LANGUAGES rows at most.
+    # A row for each language.
     table = F.broadcast(df.sparkSession.createDataFrame(shares, "_lang string, _share double"))
     number = F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
     rows = usable.select(F.col(lang_col).alias("_of"), F.col(text_col).cast("string").alias("text"), number.alias("_u"))
@@ -180,9 +184,11 @@ def sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, per_languag
     return picked.toPandas().sort_values(["lang", "cell"], kind="stable")
 
 
-def fit(df: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> Network | None:
+def fit(
+    df: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, most_languages: int = MOST_LANGUAGES
+) -> Network | None:
     """None without labelled rows. One language alone needs no training."""
-    rows = sample(df, id_col, text_col, lang_col, per_language)
+    rows = sample(df, id_col, text_col, lang_col, per_language, most_languages)
     if not len(rows):
         return None
     languages = sorted(rows["lang"].unique())
@@ -198,36 +204,38 @@ def predict(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
+    most_languages: int = MOST_LANGUAGES,
 ) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row.
 
+    Every language of the rows learned from can be predicted; the network has an output for
+    each, so more than ``most_languages`` of them are refused with an error.
+
     ``lang_pred`` is ``und`` with score 0 for a null text, one without letters, and for all
     rows if there is nothing to learn from. A row without language is predicted like the
     others; a null id is neither held out nor learned from. Other columns are not read.
     """
-    network = fit(df, id_col, text_col, lang_col, per_language)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                texts = list(part.pop("text"))
-                of, cells = windows(texts)
-                found = np.array([isinstance(t, str) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
-                if network is None:
-                    found[:] = False
-                names, scores = np.full(len(part), UNDETERMINED, dtype=object), np.zeros(len(part))
-                if found.any():
-                    logs = network.log_probabilities(cells).astype(float)
-                    weight = _LETTER[cells].sum(axis=1) + 1e-3
-                    total = np.bincount(of, weights=weight, minlength=len(part))
-                    mean = np.stack(
-                        [np.bincount(of, weights=weight * logs[:, k], minlength=len(part)) for k in range(logs.shape[1])], axis=1
-                    ) / np.maximum(total, 1e-9)[:, None]
-                    p = np.exp(mean - mean.max(axis=1, keepdims=True))
-                    p /= p.sum(axis=1, keepdims=True)
-                    names[found] = np.array(network.languages, dtype=object)[p.argmax(axis=1)][found]
-                    scores[found] = p.max(axis=1)[found]
-                yield part.assign(lang_pred=names, score=scores)
+    network = fit(df, id_col, text_col, lang_col, per_language, most_languages)
+
+    def score(part: pd.DataFrame) -> pd.DataFrame:
+        texts = list(part.pop("text"))
+        of, cells = windows(texts)
+        found = np.array([isinstance(t, str) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
+        if network is None:
+            found[:] = False
+        names, scores = np.full(len(part), UNDETERMINED, dtype=object), np.zeros(len(part))
+        if found.any():
+            logs = network.log_probabilities(cells).astype(float)
+            weight = _LETTER[cells].sum(axis=1) + 1e-3
+            total = np.bincount(of, weights=weight, minlength=len(part))
+            mean = np.stack(
+                [np.bincount(of, weights=weight * logs[:, k], minlength=len(part)) for k in range(logs.shape[1])], axis=1
+            ) / np.maximum(total, 1e-9)[:, None]
+            p = np.exp(mean - mean.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            names[found] = np.array(network.languages, dtype=object)[p.argmax(axis=1)][found]
+            scores[found] = p.max(axis=1)[found]
+        return part.assign(lang_pred=names, score=scores)
 
     key = F.col(id_col).cast("long")
     given = df.select(
@@ -236,5 +244,5 @@ def predict(
         held_out(key).alias("held_out"),
         F.col(text_col).cast("string").alias("text"),
     )
-    out = given.mapInPandas(score, "doc_id long, no_id boolean, held_out boolean, lang_pred string, score double")
+    out = map_slices(given, score, "doc_id long, no_id boolean, held_out boolean, lang_pred string, score double")
     return out.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
