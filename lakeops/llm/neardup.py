@@ -31,6 +31,7 @@ PAIRS_AT_ONCE = 100_000
 MISS = 1e-6
 PROBES = 2
 BUCKET_ROWS = 64
+MOST_WIDTHS = 64
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -163,9 +164,10 @@ def links(
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept and copies of every row.
 
-    Rows whose vector is null, empty, zero, of another length than the most frequent one, or
-    holds null or non-finite numbers link with nothing, equal ones included. A component is
-    named by its smallest id; null ids count as rows but name nothing, and ``kept`` is false
+    Rows whose vector is null, empty, zero, or holds null or non-finite numbers link with
+    nothing, equal ones included. Vectors of different lengths do not link; each length is
+    searched by itself, and more than ``MOST_WIDTHS`` lengths are refused with an error. A
+    component is named by its smallest id; null ids count as rows but name nothing, and ``kept`` is false
     for them. Rows with equal ids count each. Other columns are not read.
     """
     x = F.col(vector_col).cast("array<double>")
@@ -173,9 +175,6 @@ def links(
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = F.col("x").isNotNull() & (F.size("x") > 0) & finite & F.exists("x", lambda v: v != 0)
     usable = F.coalesce(usable, F.lit(False))
-    widths = given.where(usable).groupBy(F.size("x").alias("w")).count().orderBy(F.col("count").desc(), "w").limit(1)
-    width = (widths.first() or [0])[0]
-    usable &= F.size("x") == width
     lone = given.where(~F.coalesce(usable, F.lit(False))).select(
         "vec_id",
         F.lit(0).cast("long").alias("n_links"),
@@ -184,11 +183,20 @@ def links(
         F.lit(1).cast("long").alias("copies"),
     )
     rows = given.where(usable)
+    widths = [r["w"] for r in rows.select(F.size("x").alias("w")).distinct().limit(MOST_WIDTHS + 1).collect()]
+    if len(widths) > MOST_WIDTHS:
+        raise ValueError(f"vectors of more than {MOST_WIDTHS} lengths")
+    found = lone
+    for width in sorted(widths):
+        found = found.unionByName(_of_width(rows.where(F.size("x") == width), width, threshold, seed))
+    return found
+
+
+def _of_width(rows: DataFrame, width: int, threshold: float, seed: int) -> DataFrame:
+    """The same for rows (vec_id, x) whose vectors are usable and have one length."""
     classes = rows.groupBy("x").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"))
     classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
     total = classes.count()
-    if not total:
-        return lone
     hasher = design(total, 1 << max(1, (width - 1).bit_length()), threshold, seed=seed)
     shape = (hasher.signs.shape[0], 1 + hasher.probes)
 
@@ -271,11 +279,10 @@ def links(
     )
     names = staged(told.groupBy("component").agg(F.min("low").alias("component_id")), "vector-names")
     named = staged(told.join(names, "component"), "vector-named")
-    members = rows.join(named, "x").select(
+    return rows.join(named, "x").select(
         "vec_id",
         "n_links",
         "component_id",
         F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"),
         "copies",
     )
-    return members.unionByName(lone)
