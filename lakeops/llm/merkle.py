@@ -147,35 +147,41 @@ def with_next(df: DataFrame, id_col: str, text_col: str, out: str) -> DataFrame:
     ids last. One shuffle of the text.
     """
     spark = df.sparkSession
-    key = F.col(id_col).cast("long")
+    # The input's row is one struct: its columns may have any names.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    key, text = F.col("row").getField(id_col).cast("long"), F.col("row").getField(text_col)
     depth = max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     shares = [i / 2**depth for i in range(2**depth - 1, 0, -1)]
-    bounds = df.agg(F.percentile_approx(key, shares, 10 * 2**depth)).first()[0] or [0] * len(shares)
+    found = df.agg(F.percentile_approx(F.col(id_col).cast("long"), shares, 10 * 2**depth)).first()[0]
+    table = _numbers(found or [0] * len(shares))
     # Number of bounds above the id, by halving; nulls have a range of their own.
-    table = F.array(*[F.lit(int(b)).cast("long") for b in bounds])
     steps = F.array(*[F.lit(1 << s) for s in range(depth - 1, -1, -1)])
     above = F.aggregate(
         steps, F.lit(0), lambda at, step: F.when(F.element_at(table, at + step) > key, at + step).otherwise(at)
     )
-    bucket = F.when(key.isNull(), F.lit(2**depth)).otherwise(above).cast("int")
-    firsts = df.groupBy(bucket.alias("b")).agg(F.max(key).alias("first")).orderBy("b").collect()  # one row per range
-    first_of = [None] * (2**depth + 1)
+    ranged = rows.withColumn("range", F.when(key.isNull(), F.lit(2**depth)).otherwise(above).cast("int"))
+    firsts = ranged.groupBy("range").agg(F.max(key).alias("first")).orderBy("range").collect()  # one row per range
+    first_of: list[int | None] = [None] * (2**depth + 1)
     before_of = [0] * (2**depth + 1)
     for i, row in enumerate(firsts):
-        first_of[row["b"]] = row["first"]
-        before_of[row["b"]] = firsts[i - 1]["b"]
-    first = F.element_at(F.array(*[F.lit(f).cast("long") for f in first_of]), bucket + 1)
-    before = F.element_at(F.array(*[F.lit(b) for b in before_of]), bucket + 1)
+        first_of[row["range"]] = row["first"]
+        before_of[row["range"]] = firsts[i - 1]["range"]
+    first = F.element_at(_numbers(first_of), F.col("range") + 1)
+    before = F.element_at(_numbers(before_of), F.col("range") + 1).cast("int")
     guest = F.struct(before.alias("range"), F.lit(True).alias("guest"))
-    own = F.struct(bucket.alias("range"), F.lit(False).alias("guest"))
+    own = F.struct("range", F.lit(False).alias("guest"))
     places = F.when(first.eqNullSafe(key), F.array(own, guest)).otherwise(F.array(own))
-    dealt = df.withColumn("_place", F.explode(places)).select(
-        *df.columns, F.col("_place.range").alias("_range"), F.col("_place.guest").alias("_guest")
-    )
-    order = Window.partitionBy("_range").orderBy(
-        "_guest", key.desc_nulls_last(), F.xxhash64(text_col), F.col(text_col)
-    )
-    return dealt.repartition("_range").withColumn(out, F.lead(text_col).over(order)).where("NOT _guest").drop("_range", "_guest")
+    dealt = ranged.select("row", F.explode(places).alias("at")).select("row", "at.range", "at.guest")
+    order = Window.partitionBy("range").orderBy("guest", key.desc_nulls_last(), F.xxhash64(text), text)
+    led = dealt.repartition("range").withColumn("next", F.lead(text).over(order)).where("NOT guest")
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c != out]
+    return led.select(*kept, F.col("next").alias(out))
+
+
+def _numbers(values: list) -> Column:
+    """An array of longs or nulls that is one literal in the plan, however long."""
+    text = ",".join("" if v is None else str(v) for v in values)
+    return F.transform(F.split(F.lit(text), ","), lambda x: F.nullif(x, F.lit("")).cast("long"))
 
 
 def edited(text: Column, following: Column) -> Column:
