@@ -18,12 +18,18 @@ from lakeops.plans import texts
 from lakeops.plans.texts import with_
 from lakeops.sources import views
 from lakeops.sources.files import literal_rows
+from lakeops.streaming.aggregates import refreshed, running_rmse
 from lakeops.tables.versioned import VersionedTable
 
 FEATURES = views.PRICE_FEATURES
 SCORED = list(views.SCORER_WEIGHTS)
 BATCH_TS = datetime(2024, 1, 1, tzinfo=timezone.utc)
 EMBEDDING_SIZE = 64
+# The drift monitor: scoring runs, the error from which on a model is trained anew, and
+# state stores for a row a run.
+DRIFT_RUNS = 5
+DRIFT_BOUND = 10.0
+MONITOR_STATES = 2
 
 
 def parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -269,6 +275,49 @@ def drift_rmse(spark: SparkSession, d: str) -> DataFrame:
     return out.select(step.cast("long").alias("step"), F.round("rmse", 4).alias("rmse"))
 
 
+def drift_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The monitor as it runs: a stream keeps the error of every scoring run over a versioned
+    table of predictions while scoring appends to it. Columns are lost one by one; when the
+    newest error passes the bound, a model is trained on what is left and recorded, and the
+    next run fetches it by its id."""
+    train, test = parts(spark, d)
+    log = runs.RunLog(spark, scratch.fresh(spark, "drift-runs"))
+    steps = list(zip(scoring.drift_steps(train, views.DRIFT_ORDER), scoring.drift_steps(test, views.DRIFT_ORDER), strict=True))
+
+    def retrain(rows: tuple[DataFrame, DataFrame], components: int, parent: str | None) -> str:
+        regressor = regression.elastic_net(rows[0], "price", alpha=0.05, l1_ratio=0.1)
+        run_id, _, _ = runs.run_training(
+            log, "drift", *rows, "price", FEATURES, regressor, components, {"alpha": 0.05}, parent_run_id=parent
+        )
+        return run_id
+
+    def scored(step: int, run_id: str) -> DataFrame:
+        rows = steps[min(step, len(steps) - 1)][1]
+        return scoring.score_batch(rows, log.model(run_id), "price", BATCH_TS + timedelta(hours=step))
+
+    models = [retrain(steps[0], len(FEATURES), None)]
+    used = [0]
+    table = VersionedTable.create(spark, scratch.fresh(spark, "drift-predictions"), scored(0, models[0]))
+    errors = running_rmse(table.stream(), "ts", "price", "prediction")
+    monitor = refreshed(spark, errors, "drift-monitor", MONITOR_STATES, [table.guard()])
+    query = monitor.start(processingTime="0 seconds")
+    try:
+        for step in range(1, DRIFT_RUNS):
+            query.processAllAvailable()
+            newest = monitor.latest().agg(F.max_by("rmse", "ts")).first()[0]
+            if newest > DRIFT_BOUND:
+                lost = min(step - 1, len(steps) - 1)
+                models.append(retrain(steps[lost], len(FEATURES) - lost, models[-1]))
+            used.append(len(models) - 1)
+            table.append(scored(step, models[-1]))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    step = ((F.unix_seconds("ts") - int(BATCH_TS.timestamp())) / 3600).cast("int")
+    model = F.element_at(F.array(*[F.lit(n).cast("long") for n in used]), step + 1)
+    return monitor.latest().select(step.cast("long").alias("step"), model.alias("model"), F.round("rmse", 4).alias("rmse"))
+
+
 def retrain_recovers(spark: SparkSession, d: str) -> DataFrame:
     """Error grows as columns are lost, and falls again after training on what is left."""
     train, test = parts(spark, d)
@@ -375,6 +424,7 @@ QUERIES = {
     "score_udf_sql": score_udf_sql,
     "score_model_sql": score_model_sql,
     "drift_rmse": drift_rmse,
+    "drift_stream": drift_stream,
     "retrain_recovers": retrain_recovers,
     "search_runs": search_runs,
     "run_lineage": run_lineage,
@@ -428,17 +478,18 @@ def _first_component_sql() -> str:
     )
 
 
-def _components_sql(count: int) -> str:
-    """The leading components of the training rows' features, each by power iteration on what
-    the ones before leave of the covariances, and the elastic net on them: components do not
-    correlate, so every coefficient has a closed form (alpha 0.05, l1 share 0.1)."""
+def _fit_sql(count: int, zeroed: tuple[str, ...] = (), p: str = "") -> list[str]:
+    """The leading components of the training rows' features, some of them being zero, each by
+    power iteration on what the ones before leave of the covariances, and the elastic net on
+    them: components do not correlate, so every coefficient has a closed form (alpha 0.05, l1
+    share 0.1). Common table expressions; ``p`` begins the names of two of them."""
     cells = ", ".join(f"covar_pop({a}, {b}) AS g_{a}_{b}" for a in FEATURES for b in FEATURES)
     means = ", ".join(f"avg({a}) AS m_{a}, covar_pop({a}, price) AS y_{a}" for a in FEATURES)
+    own = ", ".join(f"CAST(0 AS DOUBLE) AS {a}" if a in zeroed else a for a in FEATURES)
     ctes = [
-        texts.PRICE,
-        f"train AS (SELECT * FROM price WHERE NOT ({texts.IS_TEST}))",
-        f"left_1 AS (SELECT {cells} FROM train)",
-        f"base AS (SELECT {means}, avg(price) AS m_price FROM train)",
+        f"{p}train AS (SELECT {own}, price FROM price WHERE NOT ({texts.IS_TEST}))",
+        f"{p}left_1 AS (SELECT {cells} FROM {p}train)",
+        f"{p}base AS (SELECT {means}, avg(price) AS m_price FROM {p}train)",
     ]
     product = {a: "(" + " + ".join(f"g_{a}_{b} * w_{b}" for b in FEATURES) + ")" for a in FEATURES}
     length = "sqrt(" + " + ".join(f"{p} * {p}" for p in product.values()) + ")"
@@ -449,23 +500,27 @@ def _components_sql(count: int) -> str:
     lines = []
     for k in range(1, count + 1):
         ctes += [
-            f"walk_{k} AS (SELECT 0 AS step, {start} UNION ALL SELECT step + 1, {step} FROM walk_{k}, left_{k} WHERE step < 400)",
-            f"axis_{k} AS (SELECT {kept}, {length} AS v FROM walk_{k}, left_{k} WHERE step = 400)",
-            f"left_{k + 1} AS (SELECT "
+            f"{p}walk_{k} AS (SELECT 0 AS step, {start} UNION ALL SELECT step + 1, {step} FROM {p}walk_{k}, {p}left_{k} WHERE step < 400)",
+            f"{p}axis_{k} AS (SELECT {kept}, {length} AS v FROM {p}walk_{k}, {p}left_{k} WHERE step = 400)",
+            f"{p}left_{k + 1} AS (SELECT "
             + ", ".join(f"g_{a}_{b} - v * w_{a} * w_{b} AS g_{a}_{b}" for a in FEATURES for b in FEATURES)
-            + f" FROM left_{k}, axis_{k})",
+            + f" FROM {p}left_{k}, {p}axis_{k})",
         ]
         pull = "(" + " + ".join(f"w_{a} * y_{a}" for a in FEATURES) + ")"
         ctes.append(
-            f"line_{k} AS (SELECT "
+            f"{p}line_{k} AS (SELECT "
             + ", ".join(
                 f"w_{a} * sign({pull}) * greatest(abs({pull}) - 0.005, 0) / (v + 0.045) AS c_{a}" for a in FEATURES
             )
-            + f" FROM axis_{k}, base)"
+            + f" FROM {p}axis_{k}, {p}base)"
         )
-        lines.append(f"SELECT * FROM line_{k}")
-    ctes.append("line AS (SELECT " + ", ".join(f"sum(c_{a}) AS c_{a}" for a in FEATURES) + f" FROM ({' UNION ALL '.join(lines)}))")
-    return "WITH RECURSIVE " + ",\n".join(ctes)
+        lines.append(f"SELECT * FROM {p}line_{k}")
+    ctes.append(f"{p}line AS (SELECT " + ", ".join(f"sum(c_{a}) AS c_{a}" for a in FEATURES) + f" FROM ({' UNION ALL '.join(lines)}))")
+    return ctes
+
+
+def _components_sql(count: int) -> str:
+    return "WITH RECURSIVE " + ",\n".join([texts.PRICE, *_fit_sql(count)])
 
 
 def _line_sql(zeroed: tuple[str, ...] = ()) -> str:
@@ -485,6 +540,22 @@ _SHARES = "shares AS (" + " UNION ALL ".join(
 ) + ")"
 _TEST_ROWS = f"SELECT count(*) AS rows FROM lineitem WHERE {texts.IS_TEST}"
 
+def _drift_sql() -> str:
+    """Error of every scoring run: three by the first model, then one by each retrained one."""
+    fits = {"a_": (4, 0), "b_": (2, 2), "c_": (1, 3)}
+    ctes = [texts.PRICE, f"held AS (SELECT * FROM price WHERE {texts.IS_TEST})"]
+    for p, (count, zeroed) in fits.items():
+        ctes += _fit_sql(count, tuple(views.DRIFT_ORDER[:zeroed]), p)
+    runs_ = []
+    for step, p in enumerate(["a_", "a_", "a_", "b_", "c_"]):
+        line = _line_sql(tuple(views.DRIFT_ORDER[: min(step, 3)]))
+        runs_.append(
+            f"SELECT CAST({step} AS BIGINT) AS step, CAST({'abc'.index(p[0])} AS BIGINT) AS model, "
+            f"round(sqrt(avg((price - ({line})) * (price - ({line})))), 4) AS rmse FROM held, {p}line, {p}base"
+        )
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + " UNION ALL ".join(runs_)
+
+
 ORACLES = {
     "pca_project": "WITH cells AS (SELECT vec_id, unnest(range(64)) AS i, "
     "unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings), "
@@ -549,6 +620,7 @@ ORACLES = {
         select="SELECT batch - 1 AS step, round(sqrt(avg((price-prediction)*(price-prediction))), 4) AS rmse "
         "FROM pred WHERE batch >= 1 GROUP BY batch",
     ),
+    "drift_stream": _drift_sql(),
     "retrain_recovers": f"{_components_sql(4)}\nSELECT round(sqrt(avg(e * e)), 4) AS before, "
     "round(sqrt(avg(f * f)), 4) AS drifted, true AS recovered FROM (SELECT "
     f"price - ({_line_sql()}) AS e, price - ({_line_sql(tuple(views.DRIFT_ORDER))}) AS f "
