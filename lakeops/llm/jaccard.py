@@ -11,17 +11,18 @@ that may hold a partner:
 4. The matrix. A set that links with another shares ``k`` of its ``size - 80 % of size +
    k`` rarest tokens, whatever fixed order "rarest" is; so only those are written, as
    (token, group), and a class visits a group that holds as many of its tokens. ``k`` is
-   one and a part in ``MORE`` of the size, of the smaller set's in a pair. The order puts the most frequent tokens last, known from a bounded list; the
-   list changes the work, never the result. Joined by token, the matrix tells which
-   classes of the smaller group have to be looked at against the larger one.
+   one and a part in ``MORE`` of the size, of the smaller set's in a pair. The order puts
+   the most frequent tokens last, known from a bounded list; the list changes the work,
+   never the result. Joined by token, the matrix tells which classes of the smaller group
+   have to be looked at against the larger one.
 5. A visited group is opened in cells of up to about ``CELL_TOKENS`` tokens. A cell stores
    the union of its members' tokens; a visitor with less than 80 % of its tokens in the
    union is passed over, the others are compared exactly. Visitors are dealt over tasks in
    portions as large as the cell, so that few texts are copied. Classes without link are
    compared inside their group in the same way.
 
-Only links between different components are needed, so a cell gives one link for each
-visitor and component. Shingles are 64-bit hashes; two sets of one digest that differ are
+Only links between different components are needed, so a cell gives a spanning forest
+of what it finds linked: fewer links than it has classes. Shingles are 64-bit hashes; two sets of one digest that differ are
 noticed by a second one and end the run with an error.
 """
 
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeops.llm import words as W
-from lakeops.llm.common import per_text, slices, small_side, staged
+from lakeops.llm.common import map_slices, packed, slices, small_side, staged
 from lakeops.llm.graph import components
 
 SHINGLE = 5
@@ -69,35 +70,32 @@ def digests(doc: np.ndarray, value: np.ndarray, texts: int) -> tuple[np.ndarray,
 def sketches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, n, one, two, mins of every row; ``often``: tokens that several sets of a slice hold."""
 
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                rows = len(part)
-                doc, value = sets_of(list(part["text"]))
-                n = np.bincount(doc, minlength=rows)
-                one, two = digests(doc, value, rows)
-                mins = np.zeros((rows, MINS), dtype=np.int64)
-                starts = np.cumsum(n) - n
-                if doc.size:
-                    for k in range(MINS):
-                        turned = W.mix(value ^ np.uint64((k + 3) * W.POWER & W.MASK))
-                        mins[n > 0, k] = np.minimum.reduceat(turned, starts[n > 0]).view(np.int64)
-                fresh = np.zeros(rows, dtype=bool)
-                fresh[np.unique(one, return_index=True)[1]] = True
-                token, times = np.unique(value[fresh[doc]], return_counts=True)
-                often: list = [[] for _ in range(rows)]
-                often[0] = token[times > 1].view(np.int64).tolist()
-                counts: list = [[] for _ in range(rows)]
-                counts[0] = times[times > 1].tolist()
-                yield pd.DataFrame(
-                    {"id": part["id"].to_numpy(), "n": n, "one": one, "two": two, "mins": list(mins), "often": often, "times": counts}
-                )
+    def sketch(part: pd.DataFrame) -> pd.DataFrame:
+        rows = len(part)
+        doc, value = sets_of(list(part["text"]))
+        n = np.bincount(doc, minlength=rows)
+        one, two = digests(doc, value, rows)
+        mins = np.zeros((rows, MINS), dtype=np.int64)
+        starts = np.cumsum(n) - n
+        if doc.size:
+            for k in range(MINS):
+                turned = W.mix(value ^ np.uint64((k + 3) * W.POWER & W.MASK))
+                mins[n > 0, k] = np.minimum.reduceat(turned, starts[n > 0]).view(np.int64)
+        fresh = np.zeros(rows, dtype=bool)
+        fresh[np.unique(one, return_index=True)[1]] = True
+        token, times = np.unique(value[fresh[doc]], return_counts=True)
+        often: list = [[] for _ in range(rows)]
+        often[0] = token[times > 1].view(np.int64).tolist()
+        counts: list = [[] for _ in range(rows)]
+        counts[0] = times[times > 1].tolist()
+        columns = {"id": part["id"].to_numpy(), "n": n, "one": one, "two": two}
+        return pd.DataFrame(columns | {"mins": list(mins), "often": often, "times": counts})
 
     rows = df.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text")
     )
     schema = "id long, n long, one long, two long, mins array<long>, often array<long>, times array<long>"
-    return staged(rows.mapInPandas(sketch, schema), "jaccard-sketches")
+    return staged(map_slices(rows, sketch, schema), "jaccard-sketches")
 
 
 def _frequent(sketched: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -114,29 +112,30 @@ def _frequent(sketched: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _prefixes(df: DataFrame, id_col: str, text_col: str, tokens: np.ndarray, weight: np.ndarray) -> DataFrame:
     """(token, cls): the rarest tokens of every set, of which any partner shares some."""
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                rows = len(part)
-                doc, value = sets_of(list(part["text"]))
-                one, _ = digests(doc, value, rows)
-                n = np.bincount(doc, minlength=rows)
-                rank = np.zeros(value.size, dtype=np.int64)
-                if tokens.size and value.size:
-                    at = np.minimum(np.searchsorted(tokens, value), tokens.size - 1)
-                    rank = np.where(tokens[at] == value, weight[at], 0)
-                order = np.lexsort((value, rank, doc))
-                place = np.arange(doc.size) - np.repeat(np.cumsum(n) - n, n)
-                kept = place < (n - -(-PERCENT * n // 100) + 1 + n // MORE)[doc]
-                yield pd.DataFrame({"token": value[order][kept].view(np.int64), "cls": one[doc[kept]]})
-
-    return df.select(F.col(text_col).cast("string").alias("text")).mapInPandas(emit, "token long, cls long")
-
-
-def _open(members: tuple, guests: tuple) -> list[tuple[int, int]]:
-    """Links (guest, member) of one cell, one for each guest and component of members.
-
-    Both: (cls, component, text number, tokens). Passes guests over by the union bound."""
+    def emit(part: pd.DataFrame) -> pd.DataFrame:
+        rows = len(part)
+        doc, value = sets_of(list(part["text"]))
+        one, _ = digests(doc, value, rows)
+        n = np.bincount(doc, minlength=rows)
+        rank = np.zeros(value.size, dtype=np.int64)
+        if tokens.size and value.size:
+            at = np.minimum(np.searchsorted(tokens, value), tokens.size - 1)
+            rank = np.where(tokens[at] == value, weight[at], 0)
+        order = np.lexsort((value, rank, doc))
+        place = np.arange(doc.size) - np.repeat(np.cumsum(n) - n, n)
+        kept = place < (n - -(-PERCENT * n // 100) + 1 + n // MORE)[doc]
+        return pd.DataFrame({"token": value[order][kept].view(np.int64), "cls": one[doc[kept]]})
+
+    return map_slices(df.select(F.col(text_col).cast("string").alias("text")), emit, "token long, cls long")
+
+
+def _open(members: tuple, guests: tuple, parts: np.ndarray, found: list[tuple[int, int]]) -> None:
+    """Add links (guest, member) of one cell to ``found``, none between what is linked already.
+
+    Both: (cls, component, text number, tokens), a component being a place in ``parts``,
+    whose equal values say what is linked; links are entered there. A cell so gives a
+    spanning forest. Guests are passed over by the union bound.
+    """
     m_cls, m_comp, m_doc, m_value = members
     g_cls, g_comp, g_doc, g_value = guests
     order = np.argsort(m_value, kind="stable")
@@ -144,7 +143,6 @@ def _open(members: tuple, guests: tuple) -> list[tuple[int, int]]:
     union, first = np.unique(m_value, return_index=True)
     ends = np.append(first[1:], m_value.size)
     m_size = np.bincount(m_doc, minlength=len(m_cls))
-    found = []
     starts = np.searchsorted(g_doc, np.arange(len(g_cls) + 1))
     for g in range(len(g_cls)):
         mine = g_value[starts[g] : starts[g + 1]]
@@ -157,11 +155,13 @@ def _open(members: tuple, guests: tuple) -> list[tuple[int, int]]:
         spans = ends[at] - first[at]
         index = np.repeat(first[at] - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
         shared = np.bincount(m_doc[index], minlength=len(m_cls))
-        linked = 100 * shared >= PERCENT * (mine.size + m_size - shared)
-        linked &= (m_comp != g_comp[g]) & (m_cls != g_cls[g])
-        for k in np.flatnonzero(linked)[np.unique(m_comp[linked], return_index=True)[1]]:
-            found.append((int(g_cls[g]), int(m_cls[k])))
-    return found
+        linked = np.flatnonzero(100 * shared >= PERCENT * (mine.size + m_size - shared))
+        own = parts[g_comp[g]]
+        others, one_of = np.unique(parts[m_comp[linked]], return_index=True)
+        for other, k in zip(others.tolist(), linked[one_of].tolist(), strict=True):
+            if other != own:
+                found.append((int(g_cls[g]), int(m_cls[k])))
+        parts[np.isin(parts, others)] = own
 
 
 def _verify(df: DataFrame, id_col: str, text_col: str, members: DataFrame, guests: DataFrame) -> DataFrame:
@@ -220,10 +220,12 @@ def _verify(df: DataFrame, id_col: str, text_col: str, members: DataFrame, guest
             guest = frame["guest"].to_numpy()
             found: list[tuple[int, int]] = []
             if guest.any() and not guest.all():
+                kinds, frame["comp"] = np.unique(frame["comp"].to_numpy(), return_inverse=True)
+                parts = np.arange(kinds.size)
                 members = side(frame[~guest])
                 if len(members[0]) and members[3].size:
                     for part in slices(frame[guest], "text"):
-                        found += _open(members, side(part))
+                        _open(members, side(part), parts, found)
             return pd.DataFrame(found, columns=["a", "b"])
 
         for batch in batches:
@@ -275,17 +277,20 @@ def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     document, and one of them stays. Texts without words all stay."""
     sketched, told = _classes(df, id_col, text_col)
     first = F.min(F.struct((F.col("id") == NO_ID).alias("none"), "id", "cls")).alias("f")
-    best = told.groupBy("component").agg(first).select(F.col("f.id").alias("_id"), F.col("f.cls").alias("_one"))
-    empty = sketched.where("n = 0").select(F.col("id").alias("_id"), F.col("one").alias("_one")).distinct()
+    best = told.groupBy("component").agg(first).select(F.col("f.id").alias("id"), F.col("f.cls").alias("one"))
+    empty = sketched.where("n = 0").select("id", "one").distinct()
     kept = staged(best.union(empty), "jaccard-kept")
 
     def digest(texts: list[str | None]) -> np.ndarray:
         return digests(*sets_of(texts), len(texts))[0]
 
-    rows = df.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
-    rows = rows.withColumn("_one", per_text(digest, F.col(text_col), "long"))
-    found = rows.join(small_side(kept), ["_id", "_one"], "left_semi")
-    return found.dropDuplicates(["_id", "_one"]).select(*[F.col(c) for c in df.columns])
+    rows = packed(df, digest, text_col).withColumnRenamed("value", "one")
+    rows = rows.withColumn("id", F.coalesce(F.col("row").getField(id_col).cast("long"), F.lit(NO_ID)))
+    found = rows.join(small_side(kept), ["id", "one"], "left_semi")
+    again = sketched.groupBy("id", "one").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    if not again.join(kept, ["id", "one"], "left_semi").isEmpty():
+        found = found.dropDuplicates(["id", "one"])
+    return found.select("row.*")
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
