@@ -126,14 +126,3 @@ def packed(df: DataFrame, value: Callable[[list[str | None]], np.ndarray], text_
                 yield pa.RecordBatch.from_arrays([row.slice(first, len(texts)), numbers], ["row", "value"])
 
     return whole.mapInArrow(run, T.StructType([*whole.schema.fields, T.StructField("value", T.LongType())]))
-
-
-def per_text(function: Callable[[list[str | None]], np.ndarray], text: Column, kind: str = "double") -> Column:
-    """A column computed from whole texts, a slice at a time; other columns stay in the JVM."""
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            parts = [function(list(part["text"])) for part in slices(batch.to_frame("text"), "text")]
-            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
-
-    return F.pandas_udf(run, kind)(text.cast("string"))

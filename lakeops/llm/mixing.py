@@ -73,17 +73,21 @@ def mix(
 
     ``weights`` gives each source its share (null is a source too; a source without weight
     gets no copies); without it shares follow ``count ** power``. ``total`` is the expected
-    size, by default that of the input. Rows with equal ids draw alike. An input column named ``copy`` or ``shuffle_key`` is replaced.
+    size, by default that of the input. Rows with equal ids draw alike. An input column named ``copy`` or
+    ``shuffle_key`` is replaced.
     """
     table = rates(df, source_col, weights, power, total).select(
         F.col("_source"), distribution(F.col("rate")).alias("_points")
     )
-    key = F.col(id_col)
-    kept = df.drop("copy", "shuffle_key")
+    names = [c for c in df.columns if c not in ("copy", "shuffle_key")]
+    # The input's row is one struct: its columns may have any names.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    key, source = F.col("row").getField(id_col), F.col("row").getField(source_col)
     # The joined side has one row per source; the plan broadcasts it only while it is small.
-    drawn = kept.join(staged(table, "mix-rates"), F.col(source_col).eqNullSafe(F.col("_source")))
+    drawn = rows.join(staged(table, "mix-rates"), source.eqNullSafe(F.col("_source")))
     point = uniform(seed, key)
     times = F.size(F.filter("_points", lambda p: p <= point))
-    copies = drawn.withColumn("_times", times).where("_times > 0").drop("_points", "_source")
-    exploded = copies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_times") - 1))).drop("_times")
-    return exploded.withColumn("shuffle_key", _digits(seed + 1, key, F.col("copy"))).orderBy("shuffle_key", id_col, "copy")
+    copies = drawn.select("row", times.alias("times")).where("times > 0")
+    exploded = copies.select("row", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("copy"))
+    keyed = exploded.select("row", "copy", _digits(seed + 1, key, F.col("copy")).alias("shuffle_key"))
+    return keyed.orderBy("shuffle_key", key, "copy").select("row.*", "copy", "shuffle_key")

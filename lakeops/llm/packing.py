@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeops.llm.common import staged, text_slices
+from lakeops.llm.common import relieved, staged, text_slices
 
 SALTS = 64
 MEMO_WORDS = 600_000
@@ -179,7 +179,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], dtype="<u4").tobytes()
         coder = encoder(tokenizer)
-        for batch in batches:
+        for batch in relieved(batches):
             owner, number, start, size, crc = [], [], [], [], []
             for first, texts in text_slices(batch.column("text")):
                 for i, ids in enumerate(coder.encode([t or "" for t in texts]), first):

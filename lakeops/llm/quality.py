@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm import words as W
-from lakeops.llm.common import held_out, per_text, slices, staged
+from lakeops.llm.common import held_out, map_slices, rows_where, staged
 
 STATISTICS = [
     "length",
@@ -97,11 +97,9 @@ def statistics(texts: list[str | None]) -> np.ndarray:
 def describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, held_out, x: the statistics of every row."""
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                x = statistics(list(part.pop("text")))
-                yield part.assign(x=list(x))
+    def measure(part: pd.DataFrame) -> pd.DataFrame:
+        x = statistics(list(part.pop("text")))
+        return part.assign(x=list(x))
 
     key = F.col(id_col).cast("long")
     rows = df.select(
@@ -109,7 +107,7 @@ def describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         key.isNull().alias("no_id"),
         F.col(text_col).cast("string").alias("text"),
     )
-    out = rows.mapInPandas(measure, "doc_id long, no_id boolean, x array<double>")
+    out = map_slices(rows, measure, "doc_id long, no_id boolean, x array<double>")
     out = out.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "x")
     return staged(out.withColumn("held_out", held_out("doc_id")), "quality-statistics")
 
@@ -217,4 +215,4 @@ def only_good(
     model = fit(describe(df, id_col, text_col), labels, label_col, id_col)
     if model is None:
         return df
-    return df.where(per_text(lambda texts: model.scores(statistics(texts)), F.col(text_col)) >= threshold)
+    return rows_where(df, lambda texts: model.scores(statistics(texts)) >= threshold, text_col)

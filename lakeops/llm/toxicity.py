@@ -20,11 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm import words as W
-from lakeops.llm.common import held_out, per_text, slices, staged
+from lakeops.llm.common import held_out, map_slices, rows_where, slices, staged
 
 SAMPLE_ROWS = 20_000
 LEXICON_WORDS = 400
@@ -60,28 +60,32 @@ def sample(df: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_c
     chosen = marks.where(F.col("y").isin(0, 1) & F.col("_id").isNotNull() & ~held_out("_id"))
     chosen = chosen.groupBy("_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
     # The side that is broadcast has ``rows`` rows at most.
-    return df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text")).join(
+    found = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text")).join(
         F.broadcast(chosen), "_id"
     )
+    # Of several texts under one id always the same one counts.
+    return found.groupBy("_id", "y").agg(_least_text().alias("t")).select("_id", "y", "t.text")
+
+
+def _least_text(*more: str) -> Column:
+    return F.min(F.struct(F.xxhash64("text").alias("h"), "text", *more))
 
 
 def without_copies(sampled: DataFrame) -> DataFrame:
     """text, y of rows that share neither of two min-hashes with another row of their label."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        top = np.uint64(W.MASK)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                doc, value = W.shingles(W.split(list(part["text"])))
-                lows = []
-                for value in (value, W.mix(value)):
-                    low = np.full(len(part), top)
-                    np.minimum.at(low, doc, value)
-                    lows.append(low.view(np.int64))
-                yield part[["text", "y"]].assign(one=lows[0], two=lows[1])
+    def sign(part: pd.DataFrame) -> pd.DataFrame:
+        doc, value = W.shingles(W.split(list(part["text"])))
+        lows = []
+        for value in (value, W.mix(value)):
+            low = np.full(len(part), np.uint64(W.MASK))
+            np.minimum.at(low, doc, value)
+            lows.append(low.view(np.int64))
+        return part[["text", "y"]].assign(one=lows[0], two=lows[1])
 
-    signed = sampled.select("text", "y").mapInPandas(sign, "text string, y int, one long, two long")
-    return signed.dropDuplicates(["one", "y"]).dropDuplicates(["two", "y"]).select("text", "y")
+    signed = map_slices(sampled.select("text", "y"), sign, "text string, y int, one long, two long")
+    firsts = signed.groupBy("one", "y").agg(_least_text("two").alias("t")).select("y", "t.text", "t.two")
+    return firsts.groupBy("two", "y").agg(_least_text().alias("t")).select("t.text", "y")
 
 
 def mine(sampled: DataFrame) -> list[str]:
@@ -107,7 +111,7 @@ def mine(sampled: DataFrame) -> list[str]:
                 for h, i, p, n in zip(value.tolist(), at[first], pos.tolist(), total.tolist(), strict=True):
                     entry = table.get(h)
                     if entry is None:
-                        word = w.data[w.start[i] : min(w.end[i], w.start[i] + 64)].tobytes().decode("utf-8", "replace")
+                        word = w.data[w.start[i] : w.end[i]].tobytes().decode("utf-8", "replace")
                         table[h] = [word, p, n - p]
                     else:
                         entry[1] += p
@@ -276,16 +280,14 @@ def fit(
     mined = mine(staged(without_copies(sampled), "toxicity-sample"))
     lexicon = Lexicon.of(mined)
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                present, extra, _ = lexicon.measure(list(part["text"]))
-                cuts = np.searchsorted(present[:, 0], np.arange(1, len(part)))
-                found = [x.tolist() for x in np.split(present[:, 1], cuts)]
-                yield pd.DataFrame({"_id": part["_id"].to_numpy(), "y": part["y"].to_numpy(), "w": found, "e": list(extra)})
+    def measure(part: pd.DataFrame) -> pd.DataFrame:
+        present, extra, _ = lexicon.measure(list(part["text"]))
+        cuts = np.searchsorted(present[:, 0], np.arange(1, len(part)))
+        found = [x.tolist() for x in np.split(present[:, 1], cuts)]
+        return pd.DataFrame({"_id": part["_id"].to_numpy(), "y": part["y"].to_numpy(), "w": found, "e": list(extra)})
 
-    table = sampled.mapInPandas(measure, "_id long, y int, w array<int>, e array<double>")
-    kept = table.dropDuplicates(["_id"]).toPandas().sort_values("_id")  # SAMPLE_ROWS rows at most
+    table = map_slices(sampled, measure, "_id long, y int, w array<int>, e array<double>")
+    kept = table.toPandas().sort_values("_id")  # SAMPLE_ROWS rows at most
     y = kept["y"].to_numpy()
     if len(np.unique(y)) < 2:
         return None
@@ -319,12 +321,10 @@ def classify(
     """
     model = fit(df, labels, label_col, id_col, text_col, rows)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                texts = list(part.pop("text"))
-                values = model.scores(texts) if model else np.zeros(len(texts))
-                yield part.assign(score=values, predicted=(values >= threshold).astype(np.int32))
+    def score(part: pd.DataFrame) -> pd.DataFrame:
+        texts = list(part.pop("text"))
+        values = model.scores(texts) if model else np.zeros(len(texts))
+        return part.assign(score=values, predicted=(values >= threshold).astype(np.int32))
 
     key = F.col(id_col).cast("long")
     given = df.select(
@@ -333,7 +333,7 @@ def classify(
         held_out(key).alias("held_out"),
         F.col(text_col).cast("string").alias("text"),
     )
-    out = given.mapInPandas(score, "doc_id long, no_id boolean, held_out boolean, score double, predicted int")
+    out = map_slices(given, score, "doc_id long, no_id boolean, held_out boolean, score double, predicted int")
     return out.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
 
@@ -348,4 +348,4 @@ def without_toxic(
     """The rows of ``df``, all columns, whose score is below the threshold; all of them
     without labels of both classes."""
     model = fit(df, labels, label_col, id_col, text_col)
-    return df.where(per_text(model.scores, F.col(text_col)) < threshold) if model else df
+    return rows_where(df, lambda texts: model.scores(texts) < threshold, text_col) if model else df
