@@ -39,10 +39,15 @@ def regression_metrics(df: DataFrame, truth: str, prediction: str, prefix: str =
 
 
 def max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Every named column divided by its own maximum."""
+    """Every named column divided by its own maximum.
+
+    All maxima are one scalar subquery, bound once; columns read its fields.
+    """
     tops = df.agg(F.struct(*[F.max(c).alias(c) for c in columns]).alias("tops")).scalar()
-    return df.select(
-        *[(F.try_divide(F.col(c), tops[c])).alias(c) if c in columns else F.col(c) for c in df.columns]
+    bound = df.select(F.struct(*df.columns).alias("row"), tops.alias("tops"))
+    row, top = F.col("row"), F.col("tops")
+    return bound.select(
+        *[(F.try_divide(row[c], top[c]) if c in columns else row[c]).alias(c) for c in df.columns]
     )
 
 
@@ -75,15 +80,17 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFram
             *[F.max(c).cast("double").alias(f"hi_{c}") for c in columns],
         ).alias("r")
     ).scalar()
+    # Bound once a row; the cells read its fields.
+    bound = df.select(F.struct(*columns).alias("row"), ranges.alias("ranges"))
     cells = []
     for c in columns:
-        lo, hi = ranges[f"lo_{c}"], ranges[f"hi_{c}"]
+        value, lo, hi = F.col("row")[c], F.col("ranges")[f"lo_{c}"], F.col("ranges")[f"hi_{c}"]
         # A single-valued column gets a unit range centred on its value.
         lo, hi = F.when(hi > lo, lo).otherwise(lo - 0.5), F.when(hi > lo, hi).otherwise(hi + 0.5)
-        index = F.least(F.floor((F.col(c) - lo) / ((hi - lo) / bins)), F.lit(bins - 1).cast("long"))
+        index = F.least(F.floor((value - lo) / ((hi - lo) / bins)), F.lit(bins - 1).cast("long"))
         cells.append(F.struct(F.lit(c).alias("column"), index.alias("bin"), lo.alias("lo"), hi.alias("hi")))
     counted = (
-        df.select(F.inline(F.array(*cells)))
+        bound.select(F.inline(F.array(*cells)))
         .where(F.col("bin").isNotNull())
         .groupBy("column", "lo", "hi")
         .agg(*[F.count(F.when(F.col("bin") == i, 1)).alias(f"n{i}") for i in range(bins)])
