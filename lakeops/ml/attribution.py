@@ -17,11 +17,18 @@ MAX_POINTS = 1000
 
 
 def background(
-    df: DataFrame, features: Sequence[str], k: int = 10, seed: int = 42, partitions: int = 64
+    df: DataFrame,
+    features: Sequence[str],
+    k: int = 10,
+    seed: int = 42,
+    partitions: int = 64,
+    on_values: bool = False,
 ) -> DataFrame:
     """At most ``k`` cluster means with the number of rows each stands for.
 
-    Means are taken over the final assignment, so their weighted mean is exactly the
+    With ``on_values`` each coordinate moves to the nearest value that occurs in the data,
+    the smaller of two as near, so that a model is never asked about a count of 2.5.
+    Otherwise means are taken over the final assignment, so their weighted mean is exactly the
     mean of the data. The starting points are drawn per partition; rows are dealt by
     value over a stated number of partitions and sorted, so that the clusters do not
     depend on the cluster's size or the input's files.
@@ -29,11 +36,40 @@ def background(
     points = df.select(*features).repartition(partitions, *features).sortWithinPartitions(*features)
     assembled = VectorAssembler(inputCols=list(features), outputCol="_point").transform(points)
     clusters = KMeans(k=k, seed=seed, featuresCol="_point", predictionCol="cluster").fit(assembled)
-    return (
+    means = (
         clusters.transform(assembled)
         .groupBy("cluster")
         .agg(F.count(F.lit(1)).alias("weight"), *[F.avg(f).alias(f) for f in features])
     )
+    return nearest_values(means, df, features) if on_values else means
+
+
+def nearest_values(points: DataFrame, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Points whose coordinates are each replaced by the nearest value of that column.
+
+    The points, at most ``MAX_POINTS``, cut each column's axis into intervals. One partial
+    aggregation keeps the least and the greatest value of every interval: the values beside
+    a point are among them, whatever the number of rows. Columns come back as doubles.
+    """
+    held = points.limit(MAX_POINTS + 1).collect()
+    if len(held) > MAX_POINTS:
+        raise ValueError(f"more than {MAX_POINTS} background points; cluster them first")
+    if not held:
+        return points
+    cuts = {f: sorted({float(r[f]) for r in held}) for f in features}
+    table = F.create_map(*[part for f in features for part in (F.lit(f), F.lit(cuts[f]))])
+    cells = df.select(*[F.col(f).cast("double").alias(f) for f in features])
+    cells = cells.unpivot([], list(features), "feature", "value").where("value IS NOT NULL AND NOT isnan(value)")
+    below = F.size(F.filter(table[F.col("feature")], lambda cut: cut <= F.col("value")))
+    ends = cells.groupBy("feature", below.alias("below")).agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    values = ends.groupBy("feature").agg(F.flatten(F.collect_list(F.array("low", "high"))).alias("values"))
+    known = {r["feature"]: sorted(r["values"]) for r in values.collect()}
+    rows = []
+    for row in held:
+        moved = {f: min(known[f], key=lambda v, at=row[f]: (abs(v - at), v)) for f in features}
+        rows.append(tuple(moved.get(c, row[c]) for c in points.columns))
+    kinds = ", ".join(f"`{c}` {'double' if c in features else kind}" for c, kind in points.dtypes)
+    return df.sparkSession.createDataFrame(rows, kinds)
 
 
 def _reference_points(points: DataFrame, features: Sequence[str]) -> Column:

@@ -2,7 +2,7 @@
 
 Everything here is one or two partial aggregations. Values one pass needs from
 another (a maximum, a range) come from a scalar subquery, so the plan stays lazy
-and holds no join.
+and holds no join. Only the robust steps of a trend run and join as they are called.
 """
 
 from __future__ import annotations
@@ -10,10 +10,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops import scratch
 from lakeops.functions.scalar import zero_clean
+from lakeops.operators.sizing import fits_broadcast
+from lakeops.operators.skew import join_one_per_key
+
+# Bins of distances from a trend for each power of two, and the bin of none.
+RESIDUAL_BINS = 64
+NO_RESIDUAL = -1_000_000
 
 
 def rmse_by(df: DataFrame, by: str, truth: str, prediction: str) -> DataFrame:
@@ -109,43 +116,114 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFram
 
 
 def local_trend(
-    df: DataFrame, x: str, y: str, by: str, bins: int = 200, points: int = 21, bandwidth: float = 0.2
+    df: DataFrame,
+    x: str,
+    y: str,
+    by: str,
+    bins: int = 200,
+    points: int = 21,
+    bandwidth: float = 0.2,
+    robust_steps: int = 0,
 ) -> DataFrame:
     """Smoothed trend of ``y`` against ``x`` in [0, 1], per value of ``by``.
 
     Rows collapse to ``bins`` sets of sums per group before anything is shuffled.
     Each bin is then sent only to the grid points its bandwidth reaches, where a
     tricube-weighted least squares line is evaluated.
+
+    Every robust step weighs the rows anew, by the bisquare of their distance from the
+    trend so far over six times the group's median distance, so that outliers lose their
+    pull; the classic smoother takes three. The median is read off a histogram with
+    ``RESIDUAL_BINS`` bins an octave. A point whose rows all lost their weight keeps its
+    trend of the step before. Steps run as they are called: each writes one row per group
+    to the scratch folder.
     """
+    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        F.col(by), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
+    )
+    trend = _binned_trend(rows, by, F.lit(1.0), bins, points, bandwidth)
+    for _ in range(robust_steps):
+        lines = _written(trend.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("_point", "trend"))).alias("_line")))
+        scales = _residual_scales(_beside(rows, lines, by, points), by)
+        known = _written(lines.join(scales, lines[by].eqNullSafe(scales[by])).select(lines[by], "_line", "_scale"))
+        far = F.abs(F.col("_residual")) / F.col("_scale")
+        weight = F.when(F.col("_scale") == 0, 1.0).when(far < 1, F.pow(1 - far * far, 2)).otherwise(0.0)
+        weighed = _beside(rows, known, by, points).withColumn("_weight", weight).where(F.col("_weight") > 0)
+        new = _binned_trend(weighed, by, F.col("_weight"), bins, points, bandwidth)
+        old = lines.select(by, F.explode("_line").alias("_point", "trend"))
+        both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+        trend = both.groupBy(by, "_point").agg(F.max_by("trend", "_new").alias("trend"))
+    return trend.select(by, (F.col("_point") * (1.0 / (points - 1))).alias("x"), "trend")
+
+
+def _binned_trend(rows: DataFrame, by: str, weight: Column, bins: int, points: int, reach: float) -> DataFrame:
+    """by, _point and trend of rows (by, _x, _y) that count with a weight."""
     step = 1.0 / (points - 1)
-    reach = bandwidth
-    bin_no = F.least(F.floor(F.col(x) * bins), F.lit(bins - 1).cast("long"))
-    sums = (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .groupBy(F.col(by), bin_no.alias("bin"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(x).alias("sx"),
-            F.sum(y).alias("sy"),
-            F.sum(F.col(x) * F.col(x)).alias("sxx"),
-            F.sum(F.col(x) * F.col(y)).alias("sxy"),
-        )
+    bin_no = F.least(F.floor(F.col("_x") * bins), F.lit(bins - 1).cast("long"))
+    sums = rows.groupBy(F.col(by), bin_no.alias("bin")).agg(
+        F.sum(weight).alias("n"),
+        F.sum(weight * F.col("_x")).alias("sx"),
+        F.sum(weight * F.col("_y")).alias("sy"),
+        F.sum(weight * F.col("_x") * F.col("_x")).alias("sxx"),
+        F.sum(weight * F.col("_x") * F.col("_y")).alias("sxy"),
     )
     centre = (F.col("bin") + 0.5) / bins
     first = F.greatest(F.ceil((centre - reach) / step), F.lit(0).cast("long"))
     last = F.least(F.floor((centre + reach) / step), F.lit(points - 1).cast("long"))
-    placed = sums.where(first <= last).withColumn("point", F.explode(F.sequence(first, last)))
-    distance = F.abs(F.col("point") * step - centre) / reach
-    weight = F.when(distance < 1, F.pow(1 - F.pow(distance, 3), 3)).otherwise(0.0)
-    weighted = placed.groupBy(by, "point").agg(
-        *[F.sum(weight * F.col(c)).alias(c) for c in ("n", "sx", "sy", "sxx", "sxy")]
+    placed = sums.where(first <= last).withColumn("_point", F.explode(F.sequence(first, last)))
+    distance = F.abs(F.col("_point") * step - centre) / reach
+    near = F.when(distance < 1, F.pow(1 - F.pow(distance, 3), 3)).otherwise(0.0)
+    weighted = placed.groupBy(by, "_point").agg(
+        *[F.sum(near * F.col(c)).alias(c) for c in ("n", "sx", "sy", "sxx", "sxy")]
     )
     spread = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
     slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), spread)
     flat = F.col("sy") / F.col("n")
-    fitted = flat + slope * (F.col("point") * step - F.col("sx") / F.col("n"))
+    fitted = flat + slope * (F.col("_point") * step - F.col("sx") / F.col("n"))
     return weighted.where(F.col("n") > 0).select(
-        by,
-        (F.col("point") * step).alias("x"),
-        F.when(spread > 1e-9, fitted).otherwise(flat).alias("trend"),
+        by, "_point", F.when(spread > 1e-9, fitted).otherwise(flat).alias("trend")
     )
+
+
+def _beside(rows: DataFrame, lines: DataFrame, by: str, points: int) -> DataFrame:
+    """Rows with their group's line and their distance from it, straight between grid points.
+
+    Groups are one row each; beyond a measured size they are joined by shuffle, hot groups
+    apart. Null is a group like any other.
+    """
+    key = [F.col(by).isNull().alias("_none"), F.coalesce(F.col(by).cast("string"), F.lit("")).alias("_group")]
+    # What one step after another joins is as many rows as groups.
+    one = lines.select(*key, *[c for c in lines.columns if c != by])
+    met = join_one_per_key(rows.select("*", *key), one, ["_none", "_group"], "inner", fits_broadcast(one))
+    place = F.col("_x") * (points - 1)
+    low = F.least(F.greatest(F.floor(place), F.lit(0).cast("long")), F.lit(points - 2).cast("long"))
+    left, right = F.try_element_at("_line", low), F.try_element_at("_line", low + 1)
+    left, right = F.coalesce(left, right), F.coalesce(right, left)
+    out = met.withColumn("_residual", F.col("_y") - (left + (right - left) * (place - low)))
+    return out.where(F.col("_residual").isNotNull()).drop("_none", "_group", "_line")
+
+
+def _residual_scales(rows: DataFrame, by: str) -> DataFrame:
+    """Six median distances per group, at least a billionth of its mean size of y."""
+    size = F.abs(F.col("_residual"))
+    bin_no = F.when(size > 0, F.floor(F.log2(size) * RESIDUAL_BINS)).otherwise(F.lit(NO_RESIDUAL).cast("long"))
+    counted = rows.groupBy(by, bin_no.alias("_bin")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.abs("_y")).alias("_size")
+    )
+    # At most RESIDUAL_BINS for each power of two a double has.
+    inside = Window.partitionBy(by)
+    upto = inside.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    summed = counted.select(
+        by, "_bin", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(inside).alias("_all"),
+        (F.sum("_size").over(inside) / F.sum("_n").over(inside)).alias("_mean"),
+    )
+    middle = summed.where(F.col("_upto") * 2 >= F.col("_all")).groupBy(by).agg(F.min("_bin").alias("_bin"), F.max("_mean").alias("_mean"))
+    edge = F.when(F.col("_bin") == NO_RESIDUAL, 0.0).otherwise(F.pow(F.lit(2.0), (F.col("_bin") + 1) / RESIDUAL_BINS))
+    return middle.select(by, F.greatest(6 * edge, F.col("_mean") * 1e-9).alias("_scale"))
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """The rows, written to the scratch folder and read again."""
+    path = scratch.fresh(df.sparkSession, "trend")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -181,6 +181,25 @@ def kmeans_background_mean(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def kmeans_background_values(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and points of a background on real values, and coordinates that are none."""
+    data = views.price(spark, d)
+    points = attribution.background(data, SCORED, on_values=True)
+    cells = points.unpivot(["cluster", "weight"], SCORED, "feature", "value")
+    held = data.select(*[F.col(f).cast("double").alias(f) for f in SCORED]).unpivot([], SCORED, "feature", "value")
+    # At most MAX_POINTS points, so as many cells a feature.
+    strange = cells.join(
+        held.join(F.broadcast(cells.select("feature", "value").distinct()), ["feature", "value"], "left_semi").distinct(),
+        ["feature", "value"],
+        "left_anti",
+    )
+    counted = cells.groupBy("feature").agg(F.sum("weight").alias("rows"), F.count("*").alias("points"))
+    missing = strange.groupBy("feature").agg(F.count("*").alias("n"))
+    return counted.join(missing, "feature", "left").select(
+        "feature", "rows", "points", F.coalesce("n", F.lit(0)).alias("no_values")
+    )
+
+
 def _linear_shares(spark: SparkSession, d: str) -> DataFrame:
     data = views.price(spark, d)
     return attribution.shapley_values(
@@ -417,6 +436,7 @@ QUERIES = {
     "model_roundtrip": model_roundtrip,
     "kmeans_background": kmeans_background,
     "kmeans_background_mean": kmeans_background_mean,
+    "kmeans_background_values": kmeans_background_values,
     "shapley_values": shapley_values,
     "shapley_mean": shapley_mean,
     "shapley_model": shapley_model,
@@ -589,6 +609,13 @@ ORACLES = {
         + ", ".join(f"round(avg({f}), 4) AS {f}" for f in SCORED)
         + " FROM price",
     ),
+    "kmeans_background_values": with_(
+        texts.PRICE,
+        select=" UNION ALL ".join(
+            f"SELECT '{f}' AS feature, count({f}) AS rows, CAST(10 AS BIGINT) AS points, CAST(0 AS BIGINT) AS no_values FROM price"
+            for f in SCORED
+        ),
+    ),
     "shapley_values": with_(
         texts.PRICE, _SAMPLE, _SHARES, select=f"SELECT {_KEYS}, feature, round(phi, 4) AS phi FROM shares"
     ),

@@ -15,6 +15,7 @@ from lakeops.plans.texts import with_
 from lakeops.sinks.files import write_parquet, write_partitioned
 from lakeops.sources import files, views
 
+ROBUST_STEPS = 2
 HISTOGRAM_BINS = 10
 CORR_COLUMNS = ["price", *views.PRICE_FEATURES]
 
@@ -265,6 +266,17 @@ def local_trend(spark: SparkSession, d: str) -> DataFrame:
     return out.select("feature", F.round("x", 2).alias("x"), F.round("trend", 3).alias("trend"))
 
 
+def local_trend_robust(spark: SparkSession, d: str) -> DataFrame:
+    """The trend after two robust steps over features in which some rows are far off."""
+    columns = ["price", *views.PRICE_FEATURES]
+    planted = views.price(spark, d).withColumn(
+        "tax", F.when(F.col("l_orderkey") % 10 == 0, F.col("tax") + 50 * F.col("price")).otherwise(F.col("tax"))
+    )
+    long = reshape.melt_features(stats.max_scale(planted, columns), "price", views.PRICE_FEATURES)
+    out = stats.local_trend(long, "price", "norm_value", "feature", robust_steps=ROBUST_STEPS)
+    return out.select("feature", F.round("x", 2).alias("x"), F.round("trend", 3).alias("trend"))
+
+
 QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_csv_positional": scan_csv_positional,
@@ -294,6 +306,7 @@ QUERIES = {
     "max_scale": max_scale,
     "unpivot_features": unpivot_features,
     "local_trend": local_trend,
+    "local_trend_robust": local_trend_robust,
 }
 
 
@@ -333,6 +346,69 @@ def _melted(source: str) -> str:
 
 _SPREAD = "(n*sxx - sx*sx)"
 
+
+def _trend_step_sql(step: int, rows: str) -> list[str]:
+    """The trend over rows (feature, price, norm_value, weight), as common table expressions."""
+    return [
+        f"sums{step} AS MATERIALIZED (SELECT feature, least(CAST(floor(price*200) AS BIGINT), 199) AS bin, sum(weight) AS n, "
+        "sum(weight*price) AS sx, sum(weight*norm_value) AS sy, sum(weight*price*price) AS sxx, "
+        f"sum(weight*price*norm_value) AS sxy FROM {rows} GROUP BY 1, 2)",
+        f"dist{step} AS (SELECT feature, i, abs(i*CAST(0.05 AS DOUBLE) - (bin + 0.5)/200)/CAST(0.2 AS DOUBLE) AS u, "
+        f"n, sx, sy, sxx, sxy FROM sums{step} CROSS JOIN range(21) AS r(i))",
+        f"w{step} AS (SELECT *, CASE WHEN u < 1 THEN pow(1 - pow(u, 3), 3) ELSE 0 END AS k FROM dist{step})",
+        f"agg{step} AS (SELECT feature, i, sum(k*n) AS n, sum(k*sx) AS sx, sum(k*sy) AS sy, sum(k*sxx) AS sxx, "
+        f"sum(k*sxy) AS sxy FROM w{step} GROUP BY feature, i HAVING sum(k*n) > 0)",
+        f"new{step} AS (SELECT feature, i, CASE WHEN {_SPREAD} > 1e-9 THEN sy/n + (n*sxy - sx*sy)/{_SPREAD}"
+        f"*(i*CAST(0.05 AS DOUBLE) - sx/n) ELSE sy/n END AS trend FROM agg{step})",
+        f"trend{step} AS MATERIALIZED ("
+        + (
+            f"SELECT o.feature, o.i, coalesce(t.trend, o.trend) AS trend FROM trend{step - 1} o LEFT JOIN new{step} t "
+            "ON o.feature = t.feature AND o.i = t.i)"
+            if step
+            else "SELECT * FROM new0)"
+        ),
+    ]
+
+
+def _weighed_sql(step: int) -> list[str]:
+    """Rows weighed by their distance from the trend of a step."""
+    return [
+        f"placed{step} AS (SELECT feature, price, norm_value, least(greatest(floor(price*20), 0), 19) AS low FROM melted)",
+        f"far{step} AS MATERIALIZED (SELECT p.feature, price, norm_value, norm_value - (coalesce(a.trend, b.trend) + "
+        "(coalesce(b.trend, a.trend) - coalesce(a.trend, b.trend))*(price*20 - low)) AS r "
+        f"FROM placed{step} p LEFT JOIN trend{step} a ON a.feature = p.feature AND a.i = low "
+        f"LEFT JOIN trend{step} b ON b.feature = p.feature AND b.i = low + 1)",
+        f"bins{step} AS (SELECT feature, CASE WHEN r = 0 THEN -1000000 ELSE floor(log2(abs(r))*64) END AS bin, "
+        f"count(*) AS n, sum(abs(norm_value)) AS y FROM far{step} WHERE r IS NOT NULL GROUP BY 1, 2)",
+        f"upto{step} AS (SELECT feature, bin, sum(n) OVER (PARTITION BY feature ORDER BY bin) AS upto, "
+        "sum(n) OVER (PARTITION BY feature) AS total, "
+        f"sum(y) OVER (PARTITION BY feature)/sum(n) OVER (PARTITION BY feature) AS mean_y FROM bins{step})",
+        f"scale{step} AS (SELECT feature, greatest(6*CASE WHEN min(bin) = -1000000 THEN 0 ELSE pow(2, (min(bin) + 1)/64) END, "
+        f"max(mean_y)*1e-9) AS s FROM upto{step} WHERE 2*upto >= total GROUP BY feature)",
+        f"weighed{step} AS MATERIALIZED (SELECT f.feature, price, norm_value, CASE WHEN s = 0 THEN 1 WHEN abs(r) < s "
+        f"THEN pow(1 - (r/s)*(r/s), 2) ELSE 0 END AS weight FROM far{step} f JOIN scale{step} z ON z.feature = f.feature)",
+    ]
+
+
+def _robust_trend_sql() -> str:
+    columns = ", ".join("tax + CASE WHEN l_orderkey % 10 = 0 THEN 50*price ELSE 0 END AS tax" if c == "tax" else c for c in CORR_COLUMNS)
+    tops = ", ".join(f"{c}/(SELECT max({c}) FROM planted) AS {c}" for c in CORR_COLUMNS)
+    parts = [
+        texts.PRICE,
+        f"planted AS MATERIALIZED (SELECT {columns} FROM price)",
+        f"scaled AS MATERIALIZED (SELECT {tops} FROM planted)",
+        f"melted AS MATERIALIZED ({_melted('scaled')})",
+        "evenly AS (SELECT *, 1 AS weight FROM melted)",
+        *_trend_step_sql(0, "evenly"),
+    ]
+    for step in range(1, ROBUST_STEPS + 1):
+        parts += [*_weighed_sql(step - 1), *_trend_step_sql(step, f"weighed{step - 1}")]
+    return with_(
+        *parts,
+        select=f"SELECT feature, round(i*CAST(0.05 AS DOUBLE), 2) AS x, round(trend, 3) AS trend FROM trend{ROBUST_STEPS}",
+    )
+
+
 ORACLES = {
     "scan_parquet": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
     "scan_csv_positional": """SELECT CAST(year(l_shipdate) AS BIGINT) AS "Year",
@@ -445,4 +521,5 @@ ORACLES = {
         select=f"SELECT feature, round(x, 2) AS x, round(CASE WHEN {_SPREAD} > 1e-9 THEN "
         f"sy/n + (n*sxy - sx*sy)/{_SPREAD}*(x - sx/n) ELSE sy/n END, 3) AS trend FROM agg",
     ),
+    "local_trend_robust": _robust_trend_sql(),
 }

@@ -207,3 +207,24 @@ def test_background_does_not_depend_on_partitions(spark, sf_dir):
         for n in (2, 9)
     ]
     assert found[0] == found[1]
+
+
+def test_background_on_values_of_the_data(spark, sf_dir):
+    """Each coordinate of a cluster's mean moves to the value a search of all values finds."""
+    price = views.price(spark, sf_dir).select("qty", "disc")
+    values = {f: sorted({float(r[f]) for r in price.select(f).collect()}) for f in price.columns}
+    means = attribution.background(price, ["qty", "disc"], k=6)
+    plain = sorted(
+        (r.weight, *[min(values[f], key=lambda v: (abs(v - r[f]), v)) for f in ("qty", "disc")]) for r in means.collect()
+    )
+    for n in (2, 8):
+        moved = attribution.background(price.repartition(n), ["qty", "disc"], k=6, on_values=True)
+        assert sorted((r.weight, r.qty, r.disc) for r in moved.collect()) == plain
+
+
+def test_nearest_values_of_odd_columns(spark):
+    points = spark.createDataFrame([(0, 3, 2.5, -9.0), (1, 1, 99.0, 4.0)], "cluster int, weight long, a double, b double")
+    df = spark.createDataFrame([(2, 4.0), (3, None), (None, 5.0), (2, float("nan"))], "a int, b double")
+    found = sorted(tuple(r) for r in attribution.nearest_values(points, df, ["a", "b"]).collect())
+    # Of two values as near the smaller; nulls and NaN are no values.
+    assert found == [(0, 3, 2.0, 4.0), (1, 1, 3.0, 4.0)]

@@ -240,3 +240,42 @@ def test_measured_size(spark):
 def test_key_bucket_is_never_negative(spark):
     df = literal_rows(spark, [(-7,), (7,)], "k long").select(key_bucket(["k"], [31], 4).alias("b"))
     assert all(0 <= r.b < 4 for r in df.collect())
+
+
+def _line_with_outliers(spark):
+    """Two groups of y = 2 x + 1, one of them the null group, with every 17th row far off."""
+    return spark.range(4000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'a' END AS g",
+        "id / 4000.0D AS x",
+        "2 * (id / 4000.0D) + 1 + 0.01D * sin(id) + CASE WHEN id % 17 = 0 THEN 100 * (id / 4000.0D) ELSE 0 END AS y",
+    )
+
+
+def test_robust_steps_unbend_the_trend(spark):
+    df = _line_with_outliers(spark)
+    bent = stats.local_trend(df, "x", "y", "g").collect()
+    assert max(abs(r.trend - (2 * r.x + 1)) for r in bent) > 3
+    straight = stats.local_trend(df, "x", "y", "g", robust_steps=3).collect()
+    assert len(straight) == len(bent) == 42
+    assert max(abs(r.trend - (2 * r.x + 1)) for r in straight) < 0.02
+
+
+def test_robust_steps_shuffled_groups_give_the_same(spark, monkeypatch):
+    df = _line_with_outliers(spark)
+    wanted = {(r.g, round(r.x, 9)): r.trend for r in stats.local_trend(df, "x", "y", "g", robust_steps=1).collect()}
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", -1)
+    found = stats.local_trend(df.repartition(7), "x", "y", "g", robust_steps=1).collect()
+    assert len(found) == len(wanted)
+    assert all(abs(r.trend - wanted[r.g, round(r.x, 9)]) < 1e-9 for r in found)
+
+
+def test_robust_steps_of_odd_rows(spark):
+    kind = "g string, x double, y double"
+    assert stats.local_trend(spark.createDataFrame([], kind), "x", "y", "g", robust_steps=2).count() == 0
+    # An exact line, a group of one row, zeros only, and rows without x or y.
+    rows = [("line", i / 50, i / 50) for i in range(51)] + [("one", 0.5, 3.0)]
+    rows += [("zero", i / 10, 0.0) for i in range(11)] + [("line", None, 9.0), ("line", 0.1, None)]
+    found = stats.local_trend(spark.createDataFrame(rows, kind), "x", "y", "g", robust_steps=2).collect()
+    for r in found:
+        assert abs(r.trend - {"line": r.x, "one": 3.0, "zero": 0.0}[r.g]) < 1e-6
+    assert len([r for r in found if r.g == "zero"]) == 21
