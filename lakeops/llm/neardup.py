@@ -10,7 +10,9 @@ on pairs that are exactly as alike as the threshold.
 Equal vectors are one class from the start. A bucket with more than ``BLOCK`` vectors is
 cut into chunks, and every pair of chunks is a task unit of its own, so no bucket meets in
 one task. A unit counts its links and gives one row per linked vector: its links, and the
-smallest vector of its part of the unit. A pair is counted where it meets first.
+smallest vector of its part of the unit. A pair is counted where it meets first, which the
+keys of the tables before tell: a row of a table carries those and no later ones. Vectors
+of floats travel as floats.
 """
 
 from __future__ import annotations
@@ -112,7 +114,7 @@ def design(rows: int, width: int, threshold: float, probes: int = PROBES, miss:
 
 
 def _unit_links(
-    unit: tuple[int, int, int, int], rows: pd.DataFrame, threshold: float, shape: tuple[int, int]
+    unit: tuple[int, int, int, int], rows: pd.DataFrame, threshold: float, visits: int
 ) -> pd.DataFrame | None:
     """Links of one unit (table, bucket, two chunks) that are met first here."""
     table, bucket, low, high = unit
@@ -131,7 +133,7 @@ def _unit_links(
     if not i.size:
         return None
     i, j = left[i], right[j]
-    keys = np.stack(rows["keys"].to_numpy()).reshape(-1, *shape)
+    keys = np.stack(rows["keys"].to_numpy()).reshape(-1, table + 1, visits)
     first = np.empty(i.size, dtype=bool)
     for at in range(0, i.size, PAIRS_AT_ONCE):
         a, b = keys[i[at : at + PAIRS_AT_ONCE]], keys[j[at : at + PAIRS_AT_ONCE]]
@@ -170,7 +172,9 @@ def links(
     component is named by its smallest id; null ids count as rows but name nothing, and ``kept`` is false
     for them. Rows with equal ids count each. Other columns are not read.
     """
-    x = F.col(vector_col).cast("array<double>")
+    # Floats are exact as doubles, which tasks make of them.
+    number = "float" if df.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
+    x = F.col(vector_col).cast(f"array<{number}>")
     given = df.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x"))
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = F.col("x").isNotNull() & (F.size("x") > 0) & finite & F.exists("x", lambda v: v != 0)
@@ -188,12 +192,13 @@ def links(
         raise ValueError(f"vectors of more than {MOST_WIDTHS} lengths")
     found = lone
     for width in sorted(widths):
-        found = found.unionByName(_of_width(rows.where(F.size("x") == width), width, threshold, seed))
+        found = found.unionByName(_of_width(rows.where(F.size("x") == width), width, threshold, seed, number))
     return found
 
 
-def _of_width(rows: DataFrame, width: int, threshold: float, seed: int) -> DataFrame:
-    """The same for rows (vec_id, x) whose vectors are usable and have one length."""
+def _of_width(rows: DataFrame, width: int, threshold: float, seed: int, number: str) -> DataFrame:
+    """The same for rows (vec_id, x) whose vectors are usable and have one length, x of a
+    type of number."""
     classes = rows.groupBy("x").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"))
     classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
     total = classes.count()
@@ -217,8 +222,7 @@ def _of_width(rows: DataFrame, width: int, threshold: float, seed: int) -> DataF
                         out["cid"] = part["cid"].to_numpy()[index]
                         out["copies"] = part["copies"].to_numpy()[index]
                         out["x"] = part["x"].to_numpy()[index]
-                        flat = list(keys.reshape(n, -1))
-                        out["keys"] = [flat[k] for k in index]
+                        out["keys"] = [row[: t + 1].reshape(-1) for row in keys for t in range(shape[0]) for _ in range(shape[1])]
                     yield pd.DataFrame(out)
 
         return run
@@ -228,7 +232,7 @@ def _of_width(rows: DataFrame, width: int, threshold: float, seed: int) -> DataF
     sizes = sizes.agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("lived"))
     sizes = staged(sizes.where("n > 1 AND lived").select("t", "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("c")), "buckets")
     placed = classes.select("cid", "copies", "x").mapInPandas(
-        place(True), key_type + ", cid long, copies long, x array<double>, keys array<long>"
+        place(True), key_type + f", cid long, copies long, x array<{number}>, keys array<long>"
     )
     placed = placed.join(small_side(sizes), ["t", "bucket"])
     chunk = F.pmod(F.xxhash64("cid"), F.col("c")).cast("int")
@@ -247,7 +251,7 @@ def _of_width(rows: DataFrame, width: int, threshold: float, seed: int) -> DataF
             cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
             for part in np.split(np.arange(len(frame)), cuts):
                 if len(part) > 1:
-                    found = _unit_links(tuple(names[part[0]]), frame.iloc[part[0] : part[-1] + 1], threshold, shape)
+                    found = _unit_links(tuple(names[part[0]]), frame.iloc[part[0] : part[-1] + 1], threshold, shape[1])
                     if found is not None:
                         yield found
 

@@ -106,6 +106,28 @@ def test_vectors_against_plain_version(spark, sf_dir):
     assert sorted(tuple(r) for r in found) == sorted((i, counts[i], names[i], names[i] == i) for i in counts)
 
 
+@pytest.mark.parametrize("hashes, kind", [(2, "float"), (3, "double")])
+def test_vectors_with_several_hashes_a_table(spark, monkeypatch, hashes, kind):
+    """Chains of vectors a little more alike than the threshold, under longer keys, in small blocks."""
+    monkeypatch.setattr(neardup, "BUCKET_ROWS", 200 / 128 ** (hashes - 0.5))
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    assert neardup.design(200, 64, 0.95).signs.shape[1] == hashes
+    rng = np.random.default_rng(hashes)
+    vectors = {}
+    for c in range(40):
+        x = rng.standard_normal(64)
+        for k in range(5):
+            vectors[100 * c + k] = [float(v) for v in x.astype(np.float32)]
+            y = rng.standard_normal(64)
+            y -= (x @ y) / (x @ x) * x
+            x = 0.951 * x / np.linalg.norm(x) + np.sqrt(1 - 0.951**2) * y / np.linalg.norm(y)
+    counts, names = plain_cosine(vectors)
+    assert sum(counts.values()) == 2 * 40 * 4
+    df = spark.createDataFrame(list(vectors.items()), f"vec_id long, embedding array<{kind}>")
+    found = neardup.links(df).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == sorted((i, counts[i], names[i]) for i in counts)
+
+
 def test_odd_vectors(spark):
     rows = [
         (1, [1.0, 0.0, 0.5], 1),

@@ -23,7 +23,8 @@ def test_fingerprints_against_plain_version(spark, sf_dir):
         assert row.n_chars == len(text)
         assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert (row.fingerprint == row.edited_fingerprint) == (text == edited)
-        assert 0 <= row.near_next <= 1 and 0 <= row.near_edited <= 1
+        assert row.near_edited == pytest.approx(plain_likeness(text, edited), abs=1e-12)
+        assert row.near_next == pytest.approx(plain_likeness(text, following), abs=1e-12)
     long = [r for r in rows.values() if r.n_chars > 1000 and r.near_next < 1]
     assert sum(0.3 < r.near_edited < 0.8 for r in long) > 0.9 * len(long)
     assert sum(r.near_next < 0.1 for r in long) > 0.9 * len(long)
@@ -44,6 +45,15 @@ def tree_of(text):
     return hashlib.sha256("".join(d for d, _ in sections).encode()).hexdigest(), sections
 
 
+def plain_likeness(left, right):
+    """1 for equal roots, else twice the common pieces over the sum of both."""
+    (left_root, a), (right_root, b) = tree_of(left), tree_of(right)
+    if left_root == right_root:
+        return 1.0
+    a, b = ({p for _, held in t for _, pieces in held for p in pieces} for t in (a, b))
+    return 2 * len(a & b) / (len(a) + len(b)) if a or b else 0.0
+
+
 def test_trees_and_edits(spark):
     lines = [f"Line {i} says a thing. And {i * i} more!" for i in range(40)]
     changed = lines[:7] + ["something else"] + lines[8:20] + lines[21:]
