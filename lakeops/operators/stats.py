@@ -143,29 +143,40 @@ def local_trend(
     )
     trend = _binned_trend(rows, by, F.lit(1.0), bins, points, bandwidth)
     for _ in range(robust_steps):
-        lines = _written(trend.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("_point", "trend"))).alias("_line")))
+        # A line is an array with a place for every point, so that a row finds its two at once.
+        known = F.map_from_entries(F.collect_list(F.struct("_point", "trend")))
+        every = F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))
+        line = F.transform(every, lambda at: F.try_element_at("_known", at))
+        lines = _written(trend.groupBy(by).agg(known.alias("_known")).select(by, line.alias("_line")))
         scales = _residual_scales(_beside(rows, lines, by, points), by)
         known = _written(lines.join(scales, lines[by].eqNullSafe(scales[by])).select(lines[by], "_line", "_scale"))
-        far = F.abs(F.col("_residual")) / F.col("_scale")
-        weight = F.when(F.col("_scale") == 0, 1.0).when(far < 1, F.pow(1 - far * far, 2)).otherwise(0.0)
-        weighed = _beside(rows, known, by, points).withColumn("_weight", weight).where(F.col("_weight") > 0)
+        beside = _beside(rows, known, by, points).withColumn("_far", F.try_divide(F.abs("_residual"), "_scale"))
+        inner = 1 - F.col("_far") * F.col("_far")
+        weight = F.when(F.col("_residual").isNull(), 0.0).when(F.col("_scale") == 0, 1.0)
+        weighed = beside.withColumn("_weight", weight.when(F.col("_far") < 1, inner * inner).otherwise(0.0))
         new = _binned_trend(weighed, by, F.col("_weight"), bins, points, bandwidth)
-        old = lines.select(by, F.explode("_line").alias("_point", "trend"))
+        old = lines.select(by, F.posexplode("_line").alias("_point", "trend")).where(F.col("trend").isNotNull())
+        old = old.withColumn("_point", F.col("_point").cast("long"))
         both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
         trend = both.groupBy(by, "_point").agg(F.max_by("trend", "_new").alias("trend"))
     return trend.select(by, (F.col("_point") * (1.0 / (points - 1))).alias("x"), "trend")
 
 
 def _binned_trend(rows: DataFrame, by: str, weight: Column, bins: int, points: int, reach: float) -> DataFrame:
-    """by, _point and trend of rows (by, _x, _y) that count with a weight."""
+    """by, _point and trend of rows (by, _x, _y) that count with a weight; those of none not
+    even if x or y is no number. A filter would have the weight worked out twice."""
     step = 1.0 / (points - 1)
     bin_no = F.least(F.floor(F.col("_x") * bins), F.lit(bins - 1).cast("long"))
+
+    def total(of: Column) -> Column:
+        return F.sum(F.when(weight > 0, of).otherwise(0.0))
+
     sums = rows.groupBy(F.col(by), bin_no.alias("bin")).agg(
-        F.sum(weight).alias("n"),
-        F.sum(weight * F.col("_x")).alias("sx"),
-        F.sum(weight * F.col("_y")).alias("sy"),
-        F.sum(weight * F.col("_x") * F.col("_x")).alias("sxx"),
-        F.sum(weight * F.col("_x") * F.col("_y")).alias("sxy"),
+        total(weight).alias("n"),
+        total(weight * F.col("_x")).alias("sx"),
+        total(weight * F.col("_y")).alias("sy"),
+        total(weight * F.col("_x") * F.col("_x")).alias("sxx"),
+        total(weight * F.col("_x") * F.col("_y")).alias("sxy"),
     )
     centre = (F.col("bin") + 0.5) / bins
     first = F.greatest(F.ceil((centre - reach) / step), F.lit(0).cast("long"))
@@ -186,10 +197,12 @@ def _binned_trend(rows: DataFrame, by: str, weight: Column, bins: int, points: i
 
 
 def _beside(rows: DataFrame, lines: DataFrame, by: str, points: int) -> DataFrame:
-    """Rows with their group's line and their distance from it, straight between grid points.
+    """Rows with their distance from their group's line, straight between grid points; null
+    where the line has neither.
 
     Groups are one row each; beyond a measured size they are joined by shuffle, hot groups
-    apart. Null is a group like any other.
+    apart. Null is a group like any other. Columns build on each other and no filter looks at
+    them, so each is worked out once a row.
     """
     key = [F.col(by).isNull().alias("_none"), F.coalesce(F.col(by).cast("string"), F.lit("")).alias("_group")]
     # What one step after another joins is as many rows as groups.
@@ -197,10 +210,11 @@ def _beside(rows: DataFrame, lines: DataFrame, by: str, points: int) -> DataFram
     met = join_one_per_key(rows.select("*", *key), one, ["_none", "_group"], "inner", fits_broadcast(one))
     place = F.col("_x") * (points - 1)
     low = F.least(F.greatest(F.floor(place), F.lit(0).cast("long")), F.lit(points - 2).cast("long"))
-    left, right = F.try_element_at("_line", low), F.try_element_at("_line", low + 1)
-    left, right = F.coalesce(left, right), F.coalesce(right, left)
-    out = met.withColumn("_residual", F.col("_y") - (left + (right - left) * (place - low)))
-    return out.where(F.col("_residual").isNotNull()).drop("_none", "_group", "_line")
+    out = met.withColumn("_low", low)
+    out = out.withColumns({"_one": F.get("_line", F.col("_low")), "_two": F.get("_line", F.col("_low") + 1)})
+    left, right = F.coalesce("_one", "_two"), F.coalesce("_two", "_one")
+    out = out.withColumn("_residual", F.col("_y") - (left + (right - left) * (place - F.col("_low"))))
+    return out.drop("_none", "_group", "_line", "_low", "_one", "_two")
 
 
 def _residual_scales(rows: DataFrame, by: str) -> DataFrame:
@@ -208,8 +222,8 @@ def _residual_scales(rows: DataFrame, by: str) -> DataFrame:
     size = F.abs(F.col("_residual"))
     bin_no = F.when(size > 0, F.floor(F.log2(size) * RESIDUAL_BINS)).otherwise(F.lit(NO_RESIDUAL).cast("long"))
     counted = rows.groupBy(by, bin_no.alias("_bin")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.abs("_y")).alias("_size")
-    )
+        F.count("_residual").alias("_n"), F.sum(F.when(F.col("_residual").isNotNull(), F.abs("_y"))).alias("_size")
+    ).where(F.col("_n") > 0)
     # At most RESIDUAL_BINS for each power of two a double has.
     inside = Window.partitionBy(by)
     upto = inside.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
