@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from lakeops.sources.files import file_inventory
 
 TARGET_BYTES = 128 * 1024 * 1024
+# What a task sorts takes so much memory at most, however small its rows are in a file.
+SORT_BYTES = 512 * 1024 * 1024
 # A long holds the curve; ranks have bits for the files and some for the rows inside one.
 CURVE_BITS = 62
 LEAST_BITS = 6
@@ -25,6 +27,13 @@ def target_tasks(size_bytes: int, target_bytes: int = TARGET_BYTES) -> int:
     return max(1, -(-size_bytes // target_bytes))
 
 
+def sort_tasks(rows: int, schema: T.StructType) -> int:
+    """Tasks that sort so many rows within ``SORT_BYTES`` each: identities and pointers, 8 bytes
+    a number and 40 any other value."""
+    width = 64 + sum(8 if isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)) else 40 for f in schema)
+    return max(1, -(-rows * width // SORT_BYTES))
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     total = file_inventory(spark, path).agg(F.coalesce(F.sum("size_bytes"), F.lit(0)))
     return total.first()[0]
@@ -146,7 +155,8 @@ def rewrite_folder(
     cluster_by: Sequence[str] = (),
     target_bytes: int = TARGET_BYTES,
 ) -> DataFrame:
-    """Write the same rows to a new folder in files near ``target_bytes``.
+    """Write the same rows to a new folder in files near ``target_bytes``, or smaller ones
+    where their rows are too many for one task to sort.
 
     With ``cluster_by`` rows are also ordered, so Parquet row groups hold narrow
     ranges and filters on those columns skip them. The old folder is left as it is.
@@ -157,6 +167,9 @@ def rewrite_folder(
     file = F.xxhash64(F.col("_metadata.file_path"))
     keyed = rows.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     tasks = target_tasks(folder_bytes(spark, source), target_bytes)
+    if partition_by or cluster_by:
+        # Counted from the files' footers.
+        tasks = max(tasks, sort_tasks(rows.count(), schema))
     placed = clustered(keyed, partition_by, cluster_by, tasks, identity).drop(*identity)
     writer = placed.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(out)

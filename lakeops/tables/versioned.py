@@ -30,9 +30,10 @@ from pyspark.sql import types as T
 
 from lakeops import scratch
 from lakeops.operators import dml
-from lakeops.operators.layout import clustered, target_tasks
+from lakeops.operators.layout import clustered, sort_tasks, target_tasks
 from lakeops.operators.sizing import BROADCAST_ROWS, fits_broadcast
 from lakeops.operators.skew import join_one_per_key
+from lakeops.sinks.files import open_files
 from lakeops.sources.files import file_inventory, literal_rows
 
 LONG, LONGS = T.LongType(), T.ArrayType(T.LongType())
@@ -431,6 +432,8 @@ class VersionedTable:
             raise ValueError(f"{sorted(within)} are folders already; cluster by other columns")
         size = self.files().agg(F.coalesce(F.sum("size_bytes"), F.lit(0))).first()[0]
         tasks = target_tasks(size, target_bytes)
+        if state.partition_by or cluster_by:
+            tasks = max(tasks, sort_tasks(state.live_rows, state.schema))
         laid = clustered(self._live(state), state.partition_by, cluster_by, tasks, ["_version", "_row_id"])
         return self._commit(
             "OPTIMIZE", state, state.schema, rows=laid.select(state.schema.names), fresh=True, gen=1,
@@ -679,7 +682,8 @@ class VersionedTable:
                 rows = rows if placed else rows.hint("rebalance", *by)
             rows = rows.withColumn("_row_id", F.monotonically_increasing_id())
             writer = rows.write.mode("overwrite")
-            (writer.partitionBy(*by) if by else writer).parquet(waiting)
+            with open_files(self.spark):
+                (writer.partitionBy(*by) if by else writer).parquet(waiting)
             written = self.spark.read.schema(T.StructType(ROW_COLUMNS)).parquet(waiting)
             added, gone, touched = written.agg(
                 F.count(F.lit(1)), F.count("_old_version"), F.collect_set("_old_version")

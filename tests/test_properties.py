@@ -279,3 +279,37 @@ def test_robust_steps_of_odd_rows(spark):
     for r in found:
         assert abs(r.trend - {"line": r.x, "one": 3.0, "zero": 0.0}[r.g]) < 1e-6
     assert len([r for r in found if r.g == "zero"]) == 21
+
+
+def test_no_task_sorts_more_than_its_memory(spark, path, monkeypatch):
+    """Rows that are small in files are still cut into tasks by what they take in memory."""
+    df = spark.range(4000).selectExpr("id % 2 AS origin", "CAST(1 AS BIGINT) AS dow")
+    df.write.parquet(f"{path}/small")
+    monkeypatch.setattr(layout, "SORT_BYTES", 80 * 500)
+    for by, cluster in ((["origin"], []), (["origin"], ["dow"]), ([], ["dow"])):
+        out = layout.rewrite_folder(spark, f"{path}/small", f"{path}/{len(by)}{len(cluster)}", df.schema, by, cluster)
+        counts = [r[1] for r in out.groupBy(F.input_file_name()).count().collect()]
+        assert sum(counts) == 4000 and len(counts) >= 8 and max(counts) <= 1000
+
+
+def test_writes_by_value_do_not_sort(spark, path):
+    """Few values keep a file each open, and the session's setting comes back."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before, found = spark.conf.get(name, "0"), []
+    from lakeops.sinks import files
+
+    with files.open_files(spark):
+        found.append(spark.conf.get(name))
+    df = spark.range(100).selectExpr("id", "id % 3 AS k")
+    assert files.write_partitioned(df, path, ["k"]).groupBy("k").count().count() == 3
+    assert spark.conf.get(name, "0") == before and int(found[0]) >= 3
+
+
+def test_a_row_looks_up_its_line_once(spark):
+    rows = spark.createDataFrame([("a", 0.1, 1.0), ("a", 0.9, 2.0), ("b", 0.5, 3.0)], "g string, _x double, _y double")
+    lines = spark.createDataFrame([("a", [1.0, None, 3.0]), ("b", [None, None, None])], "g string, _line array<double>")
+    out = stats._beside(rows, lines, "g", 3)
+    assert {(r.g, r._x): r._residual for r in out.collect()} == {("a", 0.1): 0.0, ("a", 0.9): -1.0, ("b", 0.5): None}
+    weighed = out.withColumn("_far", F.abs("_residual")).select(F.col("_far") * F.col("_far") + F.col("_far"))
+    plan = weighed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_line#") - plan.count("LogicalRDD") and sum("_line" in part for part in plan.split("Project")[1:-1]) <= 4
