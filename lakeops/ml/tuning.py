@@ -9,10 +9,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from lakeops import scratch
 from lakeops.ml import regression
 from lakeops.ml.runs import RunLog
 from lakeops.operators.sizing import spread
@@ -82,22 +84,31 @@ def search(
     """One row per trial with its settings, its loss (held-out rmse) and all errors of both parts.
 
     Every trial is a distributed fit over the same two persisted parts; threads only
-    keep several of them submitted. The trials table has ``max_evals`` rows. With a
+    keep several of them submitted. Trials with as many components share their projection
+    and the cells boosting works on. The trials table has ``max_evals`` rows. With a
     ``log`` every trial is recorded under ``parent_run_id`` when it ends. A search started
     again under the same parent, space and seed takes recorded trials from there and runs
     only the others, so it goes on where a failure ended it.
     """
+    scratch.root(train_df.sparkSession)
     draws = space.draws(max_evals, seed)
     results = _recorded(log, experiment_id, parent_run_id, draws)
     missing = [i for i in range(len(draws)) if i not in results]
     columns = [*features, label]
     parts = [spread(p.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK) for p in (train_df, test_df)]
+    shared: dict[int, tuple[PipelineModel, DataFrame]] = {}
+
+    def share(components: int) -> None:
+        projection = regression.fit_components(parts[0], features, components)
+        found = regression.cells(projection.transform(parts[0]), regression.boosted_trees(label))
+        shared[components] = projection, found.persist(StorageLevel.MEMORY_AND_DISK)
 
     def trial(number: int) -> dict[str, float]:
         draw = draws[number]
         settings = {k: draw[k] for k in ("max_depth", "learning_rate", "n_estimators")}
-        regressor = regression.boosted_trees(label, **settings, seed=seed)
-        model = regression.fit(parts[0], features, regressor, draw["n_components"])
+        projection, found = shared[draw["n_components"]]
+        boosted = regression.fit_on_cells(found, regression.boosted_trees(label, **settings, seed=seed))
+        model = PipelineModel([*projection.stages, boosted])
         metrics = regression.evaluate(model, *parts, label)
         if log is not None:
             tags = {"features": ",".join(features), "trial": str(number)}
@@ -106,11 +117,13 @@ def search(
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
+            prepare = inheritable_thread_target(train_df.sparkSession)(share)
+            list(pool.map(prepare, sorted({draws[i]["n_components"] for i in missing})))
             run = inheritable_thread_target(train_df.sparkSession)(trial)
             results.update(zip(missing, pool.map(run, missing), strict=True))
     finally:
-        for part in parts:
-            part.unpersist()
+        for held in [*parts, *[found for _, found in shared.values()]]:
+            held.unpersist()
     rows = [
         (i, *draw.values(), results[i]["test_rmse"], *[results[i][m] for m in METRICS]) for i, draw in enumerate(draws)
     ]
