@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.ml import regression
+from lakeops.operators.sizing import spread
 from lakeops.sources.files import literal_rows
 
 _TEXT = T.MapType(T.StringType(), T.StringType())
@@ -105,8 +106,11 @@ def run_training(
     parent_run_id: str | None = None,
 ) -> tuple[str, PipelineModel, dict[str, float]]:
     """Fit, measure on both parts and record the run with the data's version."""
-    model = regression.train(train_df, features, regressor, components)
-    metrics = regression.evaluate(model, train_df, test_df, label)
+    used = [*features, label]
+    # Held: a source that joins or shuffles is read once for all passes.
+    with regression.kept(spread(regression.used(train_df, used, regressor))) as rows:
+        model = regression.fit(rows, features, regressor, components)
+        metrics = regression.evaluate(model, rows.select(used), test_df.select(used), label)
     stated = {
         "n_components": components,
         **params,

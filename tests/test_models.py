@@ -228,3 +228,57 @@ def test_nearest_values_of_odd_columns(spark):
     found = sorted(tuple(r) for r in attribution.nearest_values(points, df, ["a", "b"]).collect())
     # Of two values as near the smaller; nulls and NaN are no values.
     assert found == [(0, 3, 2.0, 4.0), (1, 1, 3.0, 4.0)]
+
+
+def test_boosting_on_cells_is_boosting_on_all_rows(spark, monkeypatch):
+    """Where features have few values both see the same thresholds; the cells do not grow with the rows."""
+    df = spark.range(3000).select(
+        (F.col("id") % 7).cast("double").alias("a"), (F.col("id") * F.col("id") % 11).cast("double").alias("b"),
+        (F.pmod(F.xxhash64("id"), F.lit(100)) + (F.col("id") % 7) * (F.col("id") * F.col("id") % 11)).cast("double").alias("y"),
+    )
+    trees = regression.boosted_trees("y", n_estimators=12)
+    model = regression.train(df, ["a", "b"], trees, 2)
+    projected = PipelineModel(model.stages[:-1]).transform(df)
+    # Distinct values of a rotated component are more than bins, so the plain fit gets the bins themselves.
+    assembled = regression.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    mine = regression.fit_on_cells(regression.cells(assembled, trees), trees).transform(assembled)
+    plain = trees.fit(assembled).transform(assembled)
+    key = ["a", "b"]
+    both = mine.groupBy(key).agg(F.max("prediction").alias("mine")).join(plain.groupBy(key).agg(F.max("prediction").alias("plain")), key)
+    assert both.where("abs(mine - plain) > 1e-9").isEmpty() and both.count() == mine.select(key).distinct().count()
+    for rows in (assembled, assembled.unionByName(assembled)):
+        found = regression.cells(rows, trees)
+        assert found.count() == both.count() and found.agg(F.sum("_rows")).first()[0] == rows.count()
+    # Every row falls into the cell it was counted in: leaves predict the mean of their rows.
+    assert model.transform(df).agg(F.avg("prediction") - F.avg("y")).first()[0] == pytest.approx(0, abs=1e-9)
+    assert projected.count() == 3000 and not model.stages[-1].isSet("weightCol") and model.stages[-1].getMaxBins() == 32
+
+
+def test_cells_refuse_missing_labels(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, None)], "a double, y double")
+    with pytest.raises(Exception, match="null or NaN"):
+        regression.train(df, ["a"], regression.boosted_trees("y", n_estimators=2), 1)
+
+
+def test_trials_share_projection_and_cells(parts, monkeypatch):
+    made, cells = [], regression.cells
+    monkeypatch.setattr(regression, "cells", lambda *a: made.append(1) or cells(*a))
+    space = tuning.Space((2,), (2,), (0.2, 0.3), (2, 3))
+    assert tuning.search(*parts, FEATURES, "price", space, 4).count() == 4
+    assert len(made) == 1
+
+
+def test_a_run_reads_its_source_once(spark, path):
+    """Training and measuring pass over the held rows; the source behind them is worked out once a part."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(400).selectExpr("CAST(id % 13 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b", "CAST(id % 13 + id % 5 AS DOUBLE) AS y")
+    source = df.mapInArrow(counted, df.schema)
+    regressor = regression.elastic_net(df, "y", 0.05, 0.1)
+    runs.run_training(runs.RunLog(spark, path), "e", source, source, "y", ["a", "b"], regressor, 2, {})
+    assert seen.value <= 2 * 400
