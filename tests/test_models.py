@@ -254,6 +254,28 @@ def test_boosting_on_cells_is_boosting_on_all_rows(spark, monkeypatch):
     assert projected.count() == 3000 and not model.stages[-1].isSet("weightCol") and model.stages[-1].getMaxBins() == 32
 
 
+def test_rounds_pass_over_no_more_cells_than_bins_allow(spark, monkeypatch):
+    """Features of as many values as rows: more rows make no more cells, and every row counts in one."""
+    passed, boost = [], regression.GBTRegressor.fit
+
+    def counted(self, df, *args):
+        weight = F.sum(self.getWeightCol()) if self.isDefined("weightCol") else F.lit(None)
+        passed.append(tuple(df.agg(F.count(F.lit(1)), weight).first()))
+        return boost(self, df, *args)
+
+    monkeypatch.setattr(regression.GBTRegressor, "fit", counted)
+    trees = regression.boosted_trees("y", n_estimators=3)
+    trees.setMaxBins(8)
+    for count in (2000, 8000):
+        df = spark.range(count).select(
+            (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1000).alias("a"), (F.col("id") / count).alias("b"), (F.col("id") % 5 == 0).alias("held")
+        ).withColumn("y", F.col("a") * F.col("b"))
+        regression.train(df, ["a", "b"], trees, 2)
+        regression.fit_with_patience(df, "held", ["a", "b"], trees, 2, patience=2)
+    assert [rows for _, rows in passed] == [2000, 1600, 8000, 6400]
+    assert all(found <= 8**2 for found, _ in passed)
+
+
 def test_cells_refuse_missing_labels(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, None)], "a double, y double")
     with pytest.raises(Exception, match="null or NaN"):
